@@ -17,6 +17,7 @@ def local_session(cores: int | str = 8, shuffle_partitions: int = 8, app: str =
         .config("spark.driver.bindAddress", "127.0.0.1")
         .config("spark.driver.memory", "12g")
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.sql.adaptive.enabled", "true")
