@@ -292,13 +292,16 @@ class Star:
             F.when(F.col("o_orderkey") % 2 == 0, "ECONOMY").otherwise("STANDARD").alias("product_line"),
         )
 
-    def _customer_lines(self, months) -> DataFrame:
+    def _customer_lines(self, months, account_ids=None) -> DataFrame:
+        """Line items with their customer; listed accounts become a filter on the orders scan."""
         orders = self.table("orders").select("o_orderkey", "o_custkey")
+        if account_ids is not None:
+            orders = orders.filter(F.col("o_custkey").isin(*[int(a.removeprefix("ACC")) for a in account_ids]))
         return self.shipped(months).join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
 
-    def sales_actuals(self, months=None) -> DataFrame:
+    def sales_actuals(self, months=None, account_ids=None) -> DataFrame:
         revenue = line_revenue()
-        rows = self._customer_lines(months).select(
+        rows = self._customer_lines(months, account_ids).select(
             "o_custkey", month_of("l_shipdate").alias("month"),
             F.col("l_quantity").cast("bigint").alias("qty"),
             revenue.alias("revenue"), line_cogs(revenue).alias("cogs"),
@@ -313,8 +316,8 @@ class Star:
             (F.col("revenue") - F.col("cogs")).cast("decimal(30,6)").alias("margin_eur"),
         )
 
-    def churn_signals(self, months=None) -> DataFrame:
-        seen = self._customer_lines(months).select("o_custkey", month_of("l_shipdate").alias("month")).distinct()
+    def churn_signals(self, months=None, account_ids=None) -> DataFrame:
+        seen = self._customer_lines(months, account_ids).select("o_custkey", month_of("l_shipdate").alias("month")).distinct()
         n, y, m = F.col("o_custkey"), F.year("month"), F.month("month")
         return seen.select(
             account_id(n).alias("account_id"), "month",
