@@ -21,19 +21,16 @@ def rls_filter(df: DataFrame, personas: DataFrame, user: str, column: str = "reg
                scope: str = "region_scope", admins: Sequence[str] = ()) -> DataFrame:
     """Rows the user may see: administrators and scope ALL see every row, others the rows of their scope.
 
-    The user is a parameter. The persona rows of one user form a small set, so the row test is an
-    equality semi join; whether the user has scope ALL is one boolean for the whole frame.
+    The user is a parameter, so the test becomes two scalar subqueries evaluated once and a plain
+    filter on the rows: no join and no shuffle of the protected table.
     """
     if user in admins:
         return df
     mine = _scopes(personas, user, scope)
-    sees_all = mine.agg(F.coalesce(F.bool_or(F.col("_scope") == ALL), F.lit(False)).alias("_all"))
-    named = mine.filter(F.col("_scope") != ALL).select(F.col("_scope").alias("_named")).distinct()
-    # One row with one boolean and the short list of scopes of one user.
-    short = named.agg(F.collect_set("_named").alias("_named"))
-    probe = df.crossJoin(F.broadcast(sees_all)).crossJoin(F.broadcast(short))
-    seen = F.col("_all") | F.coalesce(F.array_contains("_named", F.col(column)), F.lit(False))
-    return probe.filter(seen).drop("_all", "_named")
+    # Both subqueries give one row: the scopes of one user are a short list.
+    sees_all = mine.agg(F.coalesce(F.bool_or(F.col("_scope") == ALL), F.lit(False))).scalar()
+    named = mine.agg(F.collect_set("_scope")).scalar()
+    return df.filter(sees_all | F.array_contains(named, F.col(column)))
 
 
 def rls_visible_counts(df: DataFrame, personas: DataFrame, column: str = "region", scope: str = "region_scope") -> DataFrame:
@@ -43,13 +40,11 @@ def rls_visible_counts(df: DataFrame, personas: DataFrame, column: str = "region
     """
     values = df.select(F.col(column).alias("_value")).filter(F.col("_value").isNotNull()).distinct()
     scopes = _scopes(personas, None, scope).distinct()
-    total = values.agg(F.count(F.lit(1)).alias("_total"))
+    total = values.agg(F.count(F.lit(1))).scalar()
     direct = scopes.join(values, F.col("_scope") == F.col("_value"), "left").groupBy("user_email").agg(
         F.bool_or(F.col("_scope") == ALL).alias("_all"), F.countDistinct("_value").alias("_named")
     )
-    return direct.crossJoin(F.broadcast(total)).select(
-        "user_email", F.when(F.col("_all"), F.col("_total")).otherwise(F.col("_named")).alias("visible")
-    )
+    return direct.select("user_email", F.when(F.col("_all"), total).otherwise(F.col("_named")).alias("visible"))
 
 
 def persona_view(df: DataFrame, personas: DataFrame, user: str, masked: Mapping[str, Sequence[str]],
@@ -58,13 +53,12 @@ def persona_view(df: DataFrame, personas: DataFrame, user: str, masked: Mapping[
 
     A user whose roles are unknown sees no clear value.
     """
-    roles = personas.filter(F.col("user_email") == user).agg(F.collect_set("role").alias("_roles"))
-    rows = rls_filter(df, personas, user, column, scope).crossJoin(F.broadcast(roles))
-    clear = {
-        c: F.when(F.arrays_overlap("_roles", F.array(*[F.lit(r) for r in allowed])), F.col(c).cast("string")).otherwise("***")
+    roles = personas.filter(F.col("user_email") == user).agg(F.collect_set("role")).scalar()
+    rows = rls_filter(df, personas, user, column, scope)
+    return rows.withColumns({
+        c: F.when(F.arrays_overlap(roles, F.array(*[F.lit(r) for r in allowed])), F.col(c).cast("string")).otherwise("***")
         for c, allowed in masked.items()
-    }
-    return rows.withColumns(clear).drop("_roles")
+    })
 
 
 def access_decide(requests: DataFrame, policy: DataFrame, key: str = "request_class") -> DataFrame:

@@ -17,8 +17,8 @@ def above_group_mean(df: DataFrame, group: str, value: str, digits: int = 1) ->
 
 
 def with_scalar(df: DataFrame, one_row: DataFrame) -> DataFrame:
-    """Attach the columns of a frame of at most one row (an ungrouped aggregate) to every row."""
-    return df.crossJoin(F.broadcast(one_row))
+    """Attach the columns of a one-row frame (an ungrouped aggregate) to every row, as scalar subqueries."""
+    return df.withColumns({c: one_row.select(c).scalar() for c in one_row.columns})
 
 
 def scalar_of(df: DataFrame, value: Column, name: str) -> DataFrame:
