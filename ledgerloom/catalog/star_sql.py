@@ -152,6 +152,21 @@ VIEWS: dict[str, tuple[tuple[str, ...], str]] = {
                'user' || CAST(o_custkey % 10 AS VARCHAR) AS requested_by,
                'user' || CAST(o_orderkey % 10 AS VARCHAR) AS approved_by, o_orderdate AS created_at
         FROM orders JOIN customer ON o_custkey = c_custkey JOIN geo ON c_nationkey = n_nationkey"""),
+    "contract_docs": ((), """
+        SELECT 'contract-' || CAST(s_suppkey AS VARCHAR) AS doc_id, 'contract' AS doc_type_guess,
+               'Supply agreement between the buyer and ' || s_name || '.' || chr(10) || 'Supplier: ' || s_name || chr(10)
+               || 'Annual spend: EUR ' || CAST(s_suppkey * 37 % 200 * 10000 AS VARCHAR) || chr(10)
+               || 'Payment terms: ' || CAST(s_suppkey * 7 % 100 AS VARCHAR) || ' days' || chr(10)
+               || 'Price escalation: ' || CASE WHEN s_suppkey % 2 = 0 THEN 'Yes' ELSE 'No' END
+               || CASE WHEN s_suppkey % 5 = 0 THEN '' ELSE chr(10) || 'Termination notice: ' || CAST(s_suppkey * 11 % 120 AS VARCHAR) || ' days' END
+               || chr(10) || 'This contract binds the buyer and the supplier.' || chr(10) AS text
+        FROM supplier"""),
+    "sheet_docs": ((), """
+        SELECT 'sheet-' || CAST(p_partkey AS VARCHAR) AS doc_id, 'SDS' AS doc_type_guess,
+               'Safety data sheet.' || chr(10) || 'Product: ' || p_name || chr(10) || 'Hazard class: ' || CAST(p_partkey % 9 + 1 AS VARCHAR)
+               || chr(10) || 'Flash point: ' || CAST(p_size + 10 AS VARCHAR) || ' C' || chr(10) || 'Storage: keep below '
+               || CAST(p_partkey % 30 + 5 AS VARCHAR) || ' C' || chr(10) || 'Protective equipment: gloves and goggles against the hazard.' || chr(10) AS text
+        FROM part"""),
 }
 
 

@@ -410,3 +410,34 @@ class Star:
             F.concat(F.lit("user"), (k % 10).cast("string")).alias("approved_by"),
             F.col("o_orderdate").cast("timestamp").alias("created_at"),
         )
+
+    # -- documents -------------------------------------------------------------------------
+
+    def contract_docs(self) -> DataFrame:
+        """One supply contract per supplier; every fifth leaves out its termination clause."""
+        k = F.col("s_suppkey")
+        text = F.concat(
+            F.lit("Supply agreement between the buyer and "), F.col("s_name"), F.lit(".\nSupplier: "), F.col("s_name"),
+            F.lit("\nAnnual spend: EUR "), (k * 37 % 200 * 10000).cast("string"),
+            F.lit("\nPayment terms: "), (k * 7 % 100).cast("string"), F.lit(" days"),
+            F.lit("\nPrice escalation: "), F.when(k % 2 == 0, "Yes").otherwise("No"),
+            F.when(k % 5 == 0, F.lit("")).otherwise(
+                F.concat(F.lit("\nTermination notice: "), (k * 11 % 120).cast("string"), F.lit(" days"))
+            ),
+            F.lit("\nThis contract binds the buyer and the supplier.\n"),
+        )
+        return self.table("supplier").select(
+            F.concat(F.lit("contract-"), k.cast("string")).alias("doc_id"), F.lit("contract").alias("doc_type_guess"), text.alias("text")
+        )
+
+    def sheet_docs(self) -> DataFrame:
+        """One product safety sheet per part."""
+        k = F.col("p_partkey")
+        text = F.concat(
+            F.lit("Safety data sheet.\nProduct: "), F.col("p_name"), F.lit("\nHazard class: "), (k % 9 + 1).cast("string"),
+            F.lit("\nFlash point: "), (F.col("p_size") + 10).cast("string"), F.lit(" C\nStorage: keep below "),
+            (k % 30 + 5).cast("string"), F.lit(" C\nProtective equipment: gloves and goggles against the hazard.\n"),
+        )
+        return self.table("part").select(
+            F.concat(F.lit("sheet-"), k.cast("string")).alias("doc_id"), F.lit("SDS").alias("doc_type_guess"), text.alias("text")
+        )
