@@ -56,7 +56,7 @@ def main():
     wanted = sys.argv[2:]
     root = f"/root/testdata/sf{sf}"
     spark = local_session()
-    spark.sparkContext.setLogLevel("ERROR")
+    spark.sparkContext.setLogLevel("OFF")
     con = duckdb.connect()
     for t in TABLES:
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{root}/{t}.parquet'")
