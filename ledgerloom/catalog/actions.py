@@ -159,12 +159,12 @@ def _(star):
 @REG.add("join_anti_handled", "actions", """
     SELECT action_id, action_type FROM actions a WHERE status = 'proposed' AND NOT EXISTS (
         SELECT 1 FROM actions x WHERE x.status IN ('approved', 'executing', 'executed', 'escalated') AND x.level = 4 AND x.action_type = 'scm_reorder'
-          AND json_extract_string(x.payload, '$.sku') = json_extract_string(a.payload, '$.sku'))""")
+          AND json_extract_string(x.payload, '$.supplier') = json_extract_string(a.payload, '$.supplier'))""")
 def _(star):
-    acts = star.actions().withColumn("sku", F.get_json_object("payload", "$.sku"))
+    acts = star.actions().withColumn("supplier", F.get_json_object("payload", "$.supplier"))
     live = star.actions().filter((F.col("level") == 4) & (F.col("action_type") == "scm_reorder") & (F.col("status") != "proposed"))
-    handled = A.live_keys(live, "sku")
-    return acts.filter(F.col("status") == "proposed").join(handled, "sku", "left_anti").select("action_id", "action_type")
+    handled = A.live_keys(live, "supplier")
+    return acts.filter(F.col("status") == "proposed").join(handled, "supplier", "left_anti").select("action_id", "action_type")
 
 
 # -- quotes ----------------------------------------------------------------------------------

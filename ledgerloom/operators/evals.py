@@ -72,10 +72,11 @@ def eval_guideline(answers: DataFrame, text: str = "answer", limit: int = MAX_SE
 
 
 def eval_run_summary(results: DataFrame, run: Sequence[str]) -> DataFrame:
-    """One header row per run. Scores have four decimals, so their sum is exact in DECIMAL in any row order."""
+    """One header row per run. Scores have four decimals, so their mean is exact in DECIMAL in any row order."""
 
     def mean(score: str) -> Column:
-        return F.round(ratio(F.sum(F.col(score).cast("decimal(6,4)")), F.count(score)), 4)
+        exact = F.try_divide(F.sum(F.col(score).cast("decimal(6,4)")), F.count(score).cast("decimal(18,0)"))
+        return F.round(exact, 4).cast("double")
 
     return results.groupBy(*run).agg(
         F.count(F.lit(1)).alias("n_questions"),
