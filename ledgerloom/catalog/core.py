@@ -295,6 +295,7 @@ def _(star):
     LEFT JOIN (SELECT * FROM cost_drivers WHERE month < DATE '2000-01-01') c
       ON c.sku = m.sku AND c.region = m.region AND c.month = m.month""")
 def _(star):
+    star = star.with_finance_facts()
     costs = star.cost_drivers((date(1995, 1, 1), date(1999, 12, 1))).select(
         "sku", "region", "month", F.col("overhead").cast("double").alias("overhead"))
     return star.margin_actuals().select("sku", "region", "month", "units").join(costs, ["sku", "region", "month"], "left")
@@ -304,6 +305,7 @@ def _(star):
     SELECT m.sku, m.region, m.month, CAST(m.revenue_eur AS DOUBLE) AS revenue_eur, CAST(b.budget_revenue_eur AS DOUBLE) AS budget_revenue_eur
     FROM margin_actuals m JOIN margin_budget b ON b.sku = m.sku AND b.region = m.region AND b.month = m.month""")
 def _(star):
+    star = star.with_finance_facts()
     return star.margin_actuals().join(star.margin_budget(), ["sku", "region", "month"]).select(
         "sku", "region", "month", F.col("revenue_eur").cast("double").alias("revenue_eur"),
         F.col("budget_revenue_eur").cast("double").alias("budget_revenue_eur"))
@@ -655,7 +657,7 @@ def _(star):
         WHEN regexp_matches(lower(r_name), '\bchina') THEN 'China' ELSE r_name END AS sales_region, COUNT(*) AS customers
     FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey GROUP BY 1, 2""")
 def _(star):
-    named = star.table("customer").join(star.geo(), F.col("c_nationkey") == F.col("n_nationkey"))
+    named = star.located(star.table("customer"), "c_nationkey")
     return named.groupBy(F.col("regionkey").alias("r_regionkey"), "region").agg(F.count(F.lit(1)).alias("customers")).select(
         "r_regionkey", C.region_norm("region").alias("sales_region"), "customers")
 

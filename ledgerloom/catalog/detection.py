@@ -29,6 +29,7 @@ def _(star):
 
 @REG.add("detect_stockout", "otif inventory", "SELECT * FROM stock", extra=STOCK_SQL.format(source="detected"))
 def _(star):
+    star = star.with_plant_facts()
     return X.detect_stockout(X.detect_breach(star.otif(), THRESHOLD), star.inventory())
 
 
@@ -45,6 +46,7 @@ DECIDE_SQL = STOCK_SQL.format(source="breaches") + ",\n" + PROPOSAL_SQL + """,
 
 def _candidates(star):
     """Every breach of the whole history, with the text a model could have answered."""
+    star = star.with_plant_facts()
     found = X.breaches_below(star.otif(), THRESHOLD)
     n = F.col("orders")
     text = F.concat(

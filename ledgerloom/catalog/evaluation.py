@@ -139,6 +139,7 @@ def _(star):
         FROM margin_actuals m JOIN cost_drivers c ON c.sku = m.sku AND c.region = m.region AND c.month = m.month
     UNION ALL SELECT 'otif within on time and in full', COUNT(*), COUNT(*) FILTER (NOT (otif_pct <= on_time / CAST(orders AS DOUBLE) AND otif_pct <= in_full / CAST(orders AS DOUBLE))) FROM otif""")
 def _(star):
+    star = star.with_finance_facts().with_plant_facts()
     m, o = star.margin_actuals(), star.otif()
     both = m.join(star.cost_drivers(), ["sku", "region", "month"])
     buckets = F.col("raw_material_cost") + F.col("freight_cost") + F.col("energy_cost") + F.col("overhead")

@@ -7,6 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..sources.io import read_rows
 from .ordered import first_per_key, with_lag, with_row_number
 
 # Statuses, legal transitions, policy caps, routes and default bodies.
@@ -50,12 +51,16 @@ def policy_table(spark: SparkSession, regions: Sequence[str]) -> DataFrame:
     ]
     schema = ("action_type string, max_discount_pct decimal(5,2), max_spend_eur decimal(14,2), "
               "allowed_regions array<string>, requires_approval boolean")
-    return spark.createDataFrame(rows, schema)
+    return read_rows(spark, rows, schema)
 
 
-def _payload(fields: Sequence[str], column: str = "payload") -> Column:
-    """Payload fields as text. Malformed JSON reads as an empty payload."""
-    return F.from_json(F.col(column), ", ".join(f"{f} string" for f in fields))
+def _payload(column: str = "payload") -> Column:
+    """Payload fields as a map of texts; malformed JSON has no fields.
+
+    A map is parsed once per row. With a struct, the optimizer turns every field that is used into a
+    parse of its own.
+    """
+    return F.from_json(F.col(column), "map<string, string>")
 
 
 def guardrail_eval(actions: DataFrame, policies: DataFrame) -> DataFrame:
@@ -67,12 +72,11 @@ def guardrail_eval(actions: DataFrame, policies: DataFrame) -> DataFrame:
     breach. An unknown type stops at the first rule. The policies have one row per action type, so
     the join adds no rows.
     """
-    p = _payload(("discount_pct", "spend_eur", "amount_eur"))
-    rows = actions.withColumn("_p", p).join(policies.withColumn("_known", F.lit(True)), "action_type", "left")
+    rows = actions.withColumn("_p", _payload()).join(policies.withColumn("_known", F.lit(True)), "action_type", "left")
     rows = rows.withColumns({
         "_known": F.coalesce("_known", F.lit(False)),
-        "_discount_text": F.col("_p.discount_pct"),
-        "_spend_text": F.coalesce("_p.spend_eur", "_p.amount_eur"),
+        "_discount_text": F.col("_p")["discount_pct"],
+        "_spend_text": F.coalesce(F.col("_p")["spend_eur"], F.col("_p")["amount_eur"]),
     }).withColumns({
         "discount_value": F.col("_discount_text").try_cast("double"),
         "spend_value": F.col("_spend_text").try_cast("double"),
@@ -152,21 +156,16 @@ def audit_lineage(events: DataFrame, key: str = "action_id", order: Sequence[str
 
 def _first_text(*fields: str, default: str | None = None) -> Column:
     """First field that is present and not empty, else the default."""
-    filled = [F.nullif(F.col(f"_p.{f}"), F.lit("")) for f in fields]
+    filled = [F.nullif(F.col("_p")[f], F.lit("")) for f in fields]
     return F.coalesce(*filled, *([F.lit(default)] if default is not None else []))
 
 
 def _first_number(*fields: str, to: str) -> Column:
     """First field that is a number other than zero, else zero."""
-    numbers = [F.nullif(F.col(f"_p.{f}").try_cast("double"), F.lit(0.0)) for f in fields]
+    numbers = [F.nullif(F.col("_p")[f].try_cast("double"), F.lit(0.0)) for f in fields]
     return F.coalesce(*numbers, F.lit(0.0)).cast(to)
 
 
-_FIELDS = ("supplier", "vendor", "sku", "material", "qty", "quantity", "amount_eur", "spend_eur", "account", "customer",
-           "task", "summary", "subject", "due", "due_date", "to", "recipient", "customer_email", "title", "body", "message",
-           "channel", "team", "path", "location", "document", "reason", "priority")
-
-
 def _body(system: Column) -> Column:
     def of(**cols: Column) -> Column:
         return F.to_json(F.struct(*[c.alias(n) for n, c in cols.items()]))
@@ -215,7 +214,7 @@ def route_of(action_type: Column, routes: Mapping[str, Sequence[str]] = ROUTES)
 
 def route_fanout(actions: DataFrame, routes: Mapping[str, Sequence[str]] = ROUTES) -> DataFrame:
     """Outbox: one row per action and routed system with the JSON body for that system. Nothing is sent."""
-    rows = actions.select("action_id", "action_type", _payload(_FIELDS).alias("_p"),
+    rows = actions.select("action_id", "action_type", _payload().alias("_p"),
                           F.posexplode(route_of(F.col("action_type"), routes)).alias("step", "system"))
     return rows.select("action_id", "action_type", F.col("step").cast("bigint").alias("step"), "system",
                        _body(F.col("system")).alias("body"))

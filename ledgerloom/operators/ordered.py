@@ -2,7 +2,7 @@
 
 A window function sends all rows of a key to one task. Here rows are range-partitioned by key and
 order, so a hot key spans many tasks. Each task numbers its own slice, and only one summary row per
-key and slice travels between slices. The slices are checkpointed once: the summary and the rows
+key and slice travels between slices. The slices are stored once: the summary and the rows
 must see the same assignment, also after an executor is lost. ``order`` must be unique per key.
 """
 

@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..sources.io import read_rows
+
 
 def top_k(df: DataFrame, order: Sequence[Column], k: int) -> DataFrame:
     """Report of the first ``k`` rows. ``order`` must end in a unique column, or the cut is arbitrary."""
@@ -33,8 +35,7 @@ def ladder(df: DataFrame, level: str = "level", status: str = "status") -> DataF
 
 def ladder_zero_fill(df: DataFrame, statuses: Sequence[str], levels: Sequence[int] = (1, 2, 3, 4)) -> DataFrame:
     """Every level and status of the ladder with its count, zero where there is none, and the level total."""
-    spark = df.sparkSession
-    frame = spark.createDataFrame([(lv,) for lv in levels], "level bigint").withColumn(
+    frame = read_rows(df.sparkSession, [(lv,) for lv in levels], "level bigint").withColumn(
         "status", F.explode(F.array(*[F.lit(s) for s in statuses]))
     )
     filled = frame.join(ladder(df), ["level", "status"], "left").withColumn("n", F.coalesce("n", F.lit(0)))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -27,19 +28,27 @@ def local_session(cores: int | str = 8, shuffle_partitions: int = 8, app: str =
     )
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint in the shared folder the cluster names in ``spark.checkpoint.dir``.
+def shared_folder(spark: SparkSession) -> str:
+    """The folder all executors can reach, as the cluster names it in ``spark.checkpoint.dir``.
 
-    The setting is read from the session. Only where none is set (a local test session) is a
-    temporary folder used; a session that runs on a real cluster must name a shared one.
+    Only a local session without that setting gets a temporary folder of its own.
     """
-    spark = df.sparkSession
     sc = spark.sparkContext
     named = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if named:
-        sc.setCheckpointDir(named)
-    elif sc._jsc.sc().getCheckpointDir().isEmpty():
-        if not sc.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a shared folder before running this job")
-        sc.setCheckpointDir(tempfile.mkdtemp(prefix="ledgerloom-ckpt-", dir=os.environ.get("TMPDIR", "/tmp")))
-    return df.checkpoint()
+        return named.rstrip("/")
+    if not sc.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a shared folder before running this job")
+    return tempfile.mkdtemp(prefix="ledgerloom-", dir=os.environ.get("TMPDIR", "/tmp"))
+
+
+def cut_lineage(df: DataFrame) -> DataFrame:
+    """Store the frame as a Parquet table in the shared folder and go on from there.
+
+    A stored table survives the loss of executors, is columnar, and has a known size, so later joins
+    can pick their strategy by it.
+    """
+    spark = df.sparkSession
+    path = f"{shared_folder(spark)}/stored-{uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

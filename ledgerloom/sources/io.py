@@ -2,16 +2,19 @@
 
 from __future__ import annotations
 
-import os
 import re
-import tempfile
 from collections.abc import Callable, Sequence
 from uuid import uuid4
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 from pyspark.sql.utils import AnalysisException
 
+from ..session import shared_folder
+
 _NAME = re.compile(r"[A-Za-z0-9_]+")
 
 
@@ -31,8 +34,16 @@ def read_files(spark: SparkSession, path: str, fmt: str = "parquet", glob: str |
 
 
 def read_rows(spark: SparkSession, rows: Sequence[tuple], schema: str) -> DataFrame:
-    """Literal configuration rows (policies, prices, personas) with an explicit schema."""
-    return spark.createDataFrame(list(rows), schema)
+    """Literal configuration rows (policies, prices, personas) with an explicit schema.
+
+    They go in as one Arrow table, so the optimizer knows their exact size and broadcasts them by its
+    own threshold; rows handed over as a Python list would have no known size.
+    """
+    struct = StructType.fromDDL(schema)
+    arrow = to_arrow_schema(struct)
+    columns = list(zip(*rows)) or [()] * len(arrow)
+    table = pa.Table.from_arrays([pa.array(c, f.type) for c, f in zip(columns, arrow)], schema=arrow)
+    return spark.createDataFrame(table, struct)
 
 
 def read_jdbc(spark: SparkSession, url: str, table: str, properties: dict[str, str],
@@ -47,13 +58,8 @@ def read_jdbc(spark: SparkSession, url: str, table: str, properties: dict[str, s
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh folder under the shared folder of the session; a local one only for local sessions."""
-    sc = spark.sparkContext
-    base = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
-    if not base:
-        if not sc.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a shared folder before running this job")
-        base = tempfile.mkdtemp(prefix="ledgerloom-", dir=os.environ.get("TMPDIR", "/tmp"))
-    return f"{base.rstrip('/')}/{ident_check(name)}-{uuid4().hex}"
+    return f"{shared_folder(spark)}/{ident_check(name)}-{uuid4().hex}"
+
 
 
 def write_path(df: DataFrame, path: str, mode: str = "overwrite", partition_by: Sequence[str] = ()) -> DataFrame:

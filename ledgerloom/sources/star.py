@@ -13,14 +13,15 @@ splits a hot join key.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from datetime import date
 from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .tables import Months, in_months, month_of, next_month, read_table
+from ..session import cut_lineage
+from .tables import Months, count_rows, in_months, month_of, next_month, read_table, small_side, spread
 
 # Fixed values of the fixture.
 AS_OF = date(2000, 6, 1)
@@ -61,15 +62,45 @@ def currency_of(regionkey: Column) -> Column:
     return F.when(regionkey == 0, "GBP").when(regionkey == 1, "USD").when(regionkey == 2, "CNY").otherwise("EUR")
 
 
+_NATIONS: dict[tuple[str, str], list[tuple] | None] = {}
+MAX_NATIONS = 1000
+
+
+def _nations(star: Star, region: str | None) -> list[tuple] | None:
+    """Nation key, name, region key and region name; None when the table is longer than a literal should be."""
+    key = (star.spark.sparkContext.applicationId, star.root)
+    if key not in _NATIONS:
+        rows = star.geo().limit(MAX_NATIONS + 1).collect()
+        _NATIONS[key] = [tuple(r) for r in rows] if len(rows) <= MAX_NATIONS else None
+    rows = _NATIONS[key]
+    return rows if rows is None or region is None else [r for r in rows if r[3] == region]
+
+
 @dataclass(frozen=True)
 class Star:
     spark: SparkSession
     root: str
     as_of: date = AS_OF
+    pinned_finance: DataFrame | None = None
+    pinned_plant: DataFrame | None = None
 
     def table(self, name: str) -> DataFrame:
         return read_table(self.spark, self.root, name)
 
+    def with_finance_facts(self, months=None, product_line=None, region=None) -> Star:
+        """A star whose finance views share one stored aggregate.
+
+        Margin, budget and cost views have the same grain. A query that joins two of them would scan
+        and join the line items once per view; here that happens once, and the result (one row per
+        SKU, region and month) is stored. Asking such a star for other months than it holds
+        gives only what it holds.
+        """
+        return replace(self, pinned_finance=cut_lineage(self.finance_facts(months, product_line, region)))
+
+    def with_plant_facts(self, months=None, product_line=None, region=None) -> Star:
+        """The same for the service and inventory views."""
+        return replace(self, pinned_plant=cut_lineage(self.plant_facts(months, product_line, region)))
+
     # -- shared building blocks ------------------------------------------------------------
 
     def geo(self, region: str | None = None) -> DataFrame:
@@ -80,13 +111,36 @@ class Star:
             "n_nationkey", "n_name", F.col("r_regionkey").alias("regionkey"), F.col("r_name").alias("region")
         )
 
+    def located(self, df: DataFrame, nationkey: str, region: str | None = None) -> DataFrame:
+        """Add ``industry`` (nation name), ``regionkey`` and ``region`` by nation key.
+
+        A region has a fixed handful of nations. Up to 1000 nations the keys become literals: a
+        region filter then is an IN list that reaches the Parquet scan, and no join is planned. A
+        longer nation table is joined.
+        """
+        rows = _nations(self, region)
+        if rows is None:
+            return df.join(self.geo(region), F.col(nationkey) == F.col("n_nationkey")).withColumnRenamed(
+                "n_name", "industry").drop("n_nationkey")
+
+        def pick(i: int) -> Column:
+            if not rows:
+                return F.lit(None)
+            return F.create_map(*[x for r in rows for x in (F.lit(r[0]), F.lit(r[i]))])[F.col(nationkey)]
+
+        kept = df.filter(F.col(nationkey).isin([r[0] for r in rows]))
+        return kept.withColumns({
+            "industry": pick(1).cast("string"), "regionkey": pick(2).cast("int"), "region": pick(3).cast("string")})
+
     def order_region(self, region: str | None = None) -> DataFrame:
-        cust = self.table("customer").select("c_custkey", "c_nationkey").join(
-            self.geo(region), F.col("c_nationkey") == F.col("n_nationkey")
-        )
-        return self.table("orders").select("o_orderkey", "o_custkey").join(
-            cust, F.col("o_custkey") == F.col("c_custkey")
-        ).select("o_orderkey", "o_custkey", "regionkey", "region")
+        cust = self.located(self.table("customer").select("c_custkey", "c_nationkey"), "c_nationkey", region)
+        orders = self.table("orders").select("o_orderkey", "o_custkey")
+        cust = small_side(cust.select("c_custkey", "regionkey", "region"), self.rows("customer"))
+        return orders.join(cust, F.col("o_custkey") == F.col("c_custkey")).select(
+            "o_orderkey", "o_custkey", "regionkey", "region")
+
+    def rows(self, name: str) -> int:
+        return count_rows(self.spark, self.root, name)
 
     def shipped(self, months: Months | None = None) -> DataFrame:
         """Line items up to the current month, optionally one month range of them."""
@@ -105,9 +159,11 @@ class Star:
         self, months: Months | None = None, product_line: str | None = None, region: str | None = None
     ) -> DataFrame:
         """Line items with region and product, one row per line; catalyst prunes what a view does not use."""
-        base = self.shipped(months).join(
-            self.order_region(region), F.col("l_orderkey") == F.col("o_orderkey")
-        ).join(self.parts(product_line), F.col("l_partkey") == F.col("p_partkey"))
+        orders = small_side(self.order_region(region), self.rows("orders"))
+        parts = small_side(self.parts(product_line), self.rows("part"))
+        base = self.shipped(months).join(orders, F.col("l_orderkey") == F.col("o_orderkey")).join(
+            parts, F.col("l_partkey") == F.col("p_partkey")
+        )
         revenue = line_revenue()
         return base.select(
             "o_custkey", "l_suppkey", "l_returnflag", "l_linestatus",
@@ -128,6 +184,8 @@ class Star:
     def finance_facts(
         self, months: Months | None = None, product_line: str | None = None, region: str | None = None
     ) -> DataFrame:
+        if self.pinned_finance is not None:
+            return self._held(self.pinned_finance, months, product_line, region)
         grain = self.lines(months, product_line, region).groupBy(
             "product_line", "regionkey", "size_digit", "region", "month"
         )
@@ -138,6 +196,14 @@ class Star:
             F.sum("list_value").cast("decimal(26,2)").alias("list_value"),
         ).select(self.sku().alias("sku"), "region", "month", "units", "revenue", "cogs", "list_value")
 
+    @staticmethod
+    def _held(facts: DataFrame, months, product_line, region) -> DataFrame:
+        if months is not None:
+            facts = facts.filter(F.col("month").between(F.lit(months[0]), F.lit(months[1])))
+        if product_line is not None:
+            facts = facts.filter(F.col("sku").startswith(f"{product_line}-"))
+        return facts if region is None else facts.filter(F.col("region") == region)
+
     # -- finance ---------------------------------------------------------------------------
 
     def products(self, product_line: str | None = None, region: str | None = None) -> DataFrame:
@@ -201,41 +267,37 @@ class Star:
 
     # -- supply ----------------------------------------------------------------------------
 
-    def _plant_lines(self, months, product_line=None, region=None) -> DataFrame:
-        return self.lines(months, product_line, region).withColumn("plant_no", F.col("l_suppkey") % PLANTS)
-
-    @staticmethod
-    def plant() -> Column:
-        return F.concat(F.lit("P"), F.col("plant_no").cast("string"))
-
-    def otif(self, months=None, product_line=None, region=None) -> DataFrame:
+    def plant_facts(self, months=None, product_line=None, region=None) -> DataFrame:
+        """Service and stock of every plant, SKU and month: the grain of the otif and inventory views."""
+        if self.pinned_plant is not None:
+            return self._held(self.pinned_plant, months, product_line, region)
         on_time = F.col("l_linestatus") == "F"
         in_full = F.col("l_returnflag") != "R"
-        agg = self._plant_lines(months, product_line, region).groupBy(
-            "plant_no", "region", "product_line", "regionkey", "size_digit", "month"
-        ).agg(
+        lines = self.lines(months, product_line, region).withColumn("plant_no", F.col("l_suppkey") % PLANTS)
+        agg = lines.groupBy("plant_no", "region", "product_line", "regionkey", "size_digit", "month").agg(
             F.count(F.lit(1)).alias("orders"),
             F.count_if(on_time).alias("on_time"),
             F.count_if(in_full).alias("in_full"),
             F.count_if(on_time & in_full).alias("perfect"),
+            F.coalesce(F.sum(F.when(~in_full, F.col("qty"))), F.lit(0)).alias("on_hand"),
+            F.sum("qty").alias("total"),
         )
         return agg.select(
-            self.plant().alias("plant"), "region",
-            F.concat(self.plant(), F.lit("->"), F.col("region")).alias("lane"),
-            self.sku().alias("sku"), "month", "orders", "on_time", "in_full",
+            "plant_no", F.concat(F.lit("P"), F.col("plant_no").cast("string")).alias("plant"), "region",
+            self.sku().alias("sku"), "month", "orders", "on_time", "in_full", "perfect", "on_hand", "total",
+        )
+
+    def otif(self, months=None, product_line=None, region=None) -> DataFrame:
+        return self.plant_facts(months, product_line, region).select(
+            "plant", "region", F.concat("plant", F.lit("->"), "region").alias("lane"), "sku", "month",
+            "orders", "on_time", "in_full",
             (F.expr("(perfect * 10000) div orders").cast("double") / F.lit(10000.0)).alias("otif_pct"),
         )
 
     def inventory(self, months=None, product_line=None, region=None) -> DataFrame:
-        agg = self._plant_lines(months, product_line, region).groupBy(
-            "plant_no", "product_line", "regionkey", "size_digit", "month"
-        ).agg(
-            F.coalesce(F.sum(F.when(F.col("l_returnflag") == "R", F.col("qty"))), F.lit(0)).alias("on_hand"),
-            F.sum("qty").alias("total"),
-        )
         supply = (F.col("on_hand") * 30).cast("double") / F.col("total").cast("double")
-        return agg.select(
-            self.plant().alias("plant"), self.sku().alias("sku"), "month",
+        return self.plant_facts(months, product_line, region).select(
+            "plant", "sku", "month",
             F.col("on_hand").alias("on_hand_units"),
             F.lit(SAFETY_STOCK).cast("bigint").alias("safety_stock"),
             F.round(supply, 1).alias("days_of_supply"),
@@ -243,13 +305,14 @@ class Star:
         )
 
     def lanes(self) -> DataFrame:
-        agg = self._plant_lines(None).groupBy("plant_no", "region").agg(
+        lines = self.lines().withColumn("plant_no", F.col("l_suppkey") % PLANTS)
+        agg = lines.groupBy("plant_no", "region").agg(
             F.count(F.lit(1)).alias("n"), F.sum("cogs").alias("cogs"), F.sum("qty").alias("qty")
-        )
+        ).withColumn("plant", F.concat(F.lit("P"), F.col("plant_no").cast("string")))
         mode = F.when(F.col("plant_no") % 3 == 0, "road").when(F.col("plant_no") % 3 == 1, "sea").otherwise("air")
         return agg.select(
-            F.concat(self.plant(), F.lit("->"), F.col("region")).alias("lane_id"),
-            self.plant().alias("origin_plant"),
+            F.concat("plant", F.lit("->"), "region").alias("lane_id"),
+            F.col("plant").alias("origin_plant"),
             F.col("region").alias("dest_region"),
             mode.alias("mode"),
             (F.col("n") % 12 + 3).cast("bigint").alias("lead_time_days"),
@@ -257,7 +320,8 @@ class Star:
         )
 
     def service_levels(self, months=None, region=None) -> DataFrame:
-        base = self.shipped(months).join(self.order_region(region), F.col("l_orderkey") == F.col("o_orderkey"))
+        orders = small_side(self.order_region(region), self.rows("orders"))
+        base = self.shipped(months).join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
         open_qty = F.when(F.col("l_linestatus") == "O", F.col("l_quantity").cast("bigint"))
         return base.groupBy("region", month_of("l_shipdate").alias("month")).agg(
             F.round(F.count_if(F.col("l_linestatus") == "F") / F.count(F.lit(1)), 4).alias("service_pct"),
@@ -267,13 +331,13 @@ class Star:
     # -- commercial ------------------------------------------------------------------------
 
     def accounts(self, region: str | None = None) -> DataFrame:
-        return self.table("customer").join(self.geo(region), F.col("c_nationkey") == F.col("n_nationkey")).select(
+        return self.located(self.table("customer"), "c_nationkey", region).select(
             account_id(F.col("c_custkey")).alias("account_id"),
             F.col("c_name").alias("account_name"),
             "region",
             F.col("c_mktsegment").alias("segment"),
-            F.col("n_name").alias("industry"),
-            F.concat(F.lit("REP"), F.lpad(F.col("n_nationkey").cast("string"), 2, "0")).alias("owner_rep"),
+            "industry",
+            F.concat(F.lit("REP"), F.lpad(F.col("c_nationkey").cast("string"), 2, "0")).alias("owner_rep"),
         )
 
     def pipeline(self) -> DataFrame:
@@ -297,6 +361,7 @@ class Star:
         orders = self.table("orders").select("o_orderkey", "o_custkey")
         if account_ids is not None:
             orders = orders.filter(F.col("o_custkey").isin(*[int(a.removeprefix("ACC")) for a in account_ids]))
+        orders = small_side(orders, self.rows("orders"))
         return self.shipped(months).join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
 
     def sales_actuals(self, months=None, account_ids=None) -> DataFrame:
@@ -360,10 +425,9 @@ class Star:
 
     def actions(self) -> DataFrame:
         """One action per order; the payload is JSON text as an application would have stored it."""
-        o = self.table("orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority")
-        cust = self.table("customer").select("c_custkey", "c_nationkey").join(
-            self.geo(), F.col("c_nationkey") == F.col("n_nationkey")
-        )
+        o = spread(self.table("orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"))
+        cust = self.located(self.table("customer").select("c_custkey", "c_nationkey"), "c_nationkey")
+        cust = small_side(cust.select("c_custkey", "region"), self.rows("customer"))
         k, p = F.col("o_orderkey"), F.col("o_orderpriority")
         kind = (
             F.when(p == "1-URGENT", "scm_reorder")

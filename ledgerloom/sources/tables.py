@@ -6,6 +6,7 @@ from datetime import date
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 TABLES = (
     "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
@@ -15,8 +16,50 @@ TABLES = (
 Months = tuple[date, date]
 
 
+_SCHEMAS: dict[tuple[str, str], StructType] = {}
+
+
 def read_table(spark: SparkSession, root: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{root}/{name}.parquet")
+    """One input table. Its schema is read from the files once per application.
+
+    A plain ``read.parquet`` runs a job to find the schema every time it is called; a catalog table
+    would not, and these tables stand for catalog tables.
+    """
+    path = f"{root}/{name}.parquet"
+    key = (spark.sparkContext.applicationId, path)
+    if key not in _SCHEMAS:
+        _SCHEMAS[key] = spark.read.parquet(path).schema
+    return spark.read.schema(_SCHEMAS[key]).parquet(path)
+
+
+_COUNTS: dict[tuple[str, str], int] = {}
+BROADCAST_ROWS = 500_000
+
+
+def count_rows(spark: SparkSession, root: str, name: str) -> int:
+    """Rows of an input table, from the file footers, once per application."""
+    key = (spark.sparkContext.applicationId, f"{root}/{name}.parquet")
+    if key not in _COUNTS:
+        _COUNTS[key] = read_table(spark, root, name).count()
+    return _COUNTS[key]
+
+
+def small_side(df: DataFrame, rows: int) -> DataFrame:
+    """Broadcast a narrow join side whose row count is known and small; otherwise leave it to a shuffle join.
+
+    Without column statistics Spark takes the product of both inputs for the size of a join result,
+    so it would never broadcast one, and might broadcast the fact side instead.
+    """
+    return F.broadcast(df) if rows <= BROADCAST_ROWS else df
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Give a scan with fewer splits than cores one partition per core before heavy per-row work.
+
+    Files of a cluster-sized table have far more splits than cores; there this changes nothing.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
 
 
 def month_of(col: Column | str) -> Column:
