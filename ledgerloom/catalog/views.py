@@ -35,7 +35,7 @@ def _register(view: str) -> None:
     columns = _COLUMNS[view].split()
     select = ", ".join(f"CAST({c} AS DOUBLE) AS {c}" if c in doubles else c for c in columns)
 
-    @REG.add(f"view_{view}", view, f"SELECT {select} FROM {view}")
+    @REG.add("view_opportunities" if view == "pipeline" else f"view_{view}", view, f"SELECT {select} FROM {view}")
     def _(star):
         df = getattr(star, view)()
         return df.select(*[F.col(c).cast("double").alias(c) if c in doubles else F.col(c) for c in columns])
