@@ -6,6 +6,7 @@ from ..operators import actions as A
 from ..operators import joins as J
 from ..operators import quotes as Q
 from ..operators import reports as T
+from .core import clock
 from .registry import Registry
 
 REG = Registry()
@@ -73,13 +74,13 @@ def _(star):
 @REG.add("state_current", "action_events", """
     SELECT action_id, arg_max(status, (ts, event_id)) AS status,
            arg_max(actor, (ts, event_id)) FILTER (status IN ('approved', 'rejected')) AS approved_by,
-           epoch_us(MIN(ts)) AS created_us, epoch_us(MAX(ts) FILTER (status IN ('approved', 'rejected'))) AS decided_us,
-           epoch_us(MAX(ts) FILTER (status IN ('executed', 'failed'))) AS executed_us, COUNT(*) AS events
+           strftime(MIN(ts), '%Y-%m-%d %H:%M:%S.%f') AS created_ts, strftime(MAX(ts) FILTER (status IN ('approved', 'rejected')), '%Y-%m-%d %H:%M:%S.%f') AS decided_ts,
+           strftime(MAX(ts) FILTER (status IN ('executed', 'failed')), '%Y-%m-%d %H:%M:%S.%f') AS executed_ts, COUNT(*) AS events
     FROM action_events GROUP BY 1""")
 def _(star):
     now = A.state_current(star.action_events())
-    times = {"created_us": "created_at", "decided_us": "decided_at", "executed_us": "executed_at"}
-    return now.select("action_id", "status", "approved_by", "events", *[F.unix_micros(c).alias(n) for n, c in times.items()])
+    times = {"created_ts": "created_at", "decided_ts": "decided_at", "executed_ts": "executed_at"}
+    return now.select("action_id", "status", "approved_by", "events", *[clock(c).alias(n) for n, c in times.items()])
 
 
 FROM_STATUS = """CASE status WHEN 'approved' THEN 'proposed' WHEN 'executing' THEN 'approved' WHEN 'executed' THEN 'executing'
@@ -269,12 +270,12 @@ def _(star):
 
 
 @REG.add("session_log", sql="""
-    SELECT user_id, COUNT(*) AS turns, COUNT(DISTINCT event_type) AS kinds, epoch_us(MAX(ts)) AS last_us FROM events GROUP BY 1""")
+    SELECT user_id, COUNT(*) AS turns, COUNT(DISTINCT event_type) AS kinds, strftime(MAX(ts), '%Y-%m-%d %H:%M:%S.%f') AS last_ts FROM events GROUP BY 1""")
 def _(star):
     log = star.table("events").select("event_id", "user_id", "event_type", F.col("ts").cast("timestamp").alias("ts"))
     early, late = log.filter(F.col("event_id") % 2 == 0), log.filter(F.col("event_id") % 2 != 0)
     return early.unionByName(late).groupBy("user_id").agg(
-        F.count(F.lit(1)).alias("turns"), F.countDistinct("event_type").alias("kinds"), F.unix_micros(F.max("ts")).alias("last_us"))
+        F.count(F.lit(1)).alias("turns"), F.countDistinct("event_type").alias("kinds"), clock(F.max("ts")).alias("last_ts"))
 
 
 @REG.add("feedback", sql="""

@@ -18,6 +18,13 @@ from .star_sql import month_of as sql_month
 REG = Registry()
 PERIODS = (("Q1", *Q1), ("Q2", *Q2))
 D = "CAST({} AS DOUBLE)".format
+
+
+def clock(col):
+    """Wall-clock text of a time, the same in every session time zone."""
+    return F.date_format(col, "yyyy-MM-dd HH:mm:ss.SSSSSS")
+
+
 BUCKET = """CASE WHEN month BETWEEN DATE '2000-01-01' AND DATE '2000-03-01' THEN 'Q1'
                  WHEN month BETWEEN DATE '2000-04-01' AND DATE '2000-06-01' THEN 'Q2' END"""
 
@@ -133,14 +140,14 @@ def _memory_rows(star):
 
 @REG.add("upsert_latest", sql="""
     SELECT user_id, event_type AS memory_key, arg_max(json_extract_string(props, '$.k'), (ts, event_id)) AS content,
-           epoch_us(MIN(ts)) AS created_us, epoch_us(MAX(ts)) AS updated_us
+           strftime(MIN(ts), '%Y-%m-%d %H:%M:%S.%f') AS created_ts, strftime(MAX(ts), '%Y-%m-%d %H:%M:%S.%f') AS updated_ts
     FROM events GROUP BY 1, 2""")
 def _(star):
     rows = _memory_rows(star).withColumn("created_at", F.col("ts")).withColumn("updated_at", F.col("ts"))
     old, new = rows.filter(F.col("ts") < F.lit(MEMORY_CUT)), rows.filter(F.col("ts") >= F.lit(MEMORY_CUT))
     merged = K.upsert_latest(old, new, ("user_id", "memory_key"), ("content",), ("ts", "event_id"))
-    return merged.select("user_id", "memory_key", "content", F.unix_micros("created_at").alias("created_us"),
-                         F.unix_micros("updated_at").alias("updated_us"))
+    return merged.select("user_id", "memory_key", "content", clock("created_at").alias("created_ts"),
+                         clock("updated_at").alias("updated_ts"))
 
 
 @REG.add("update_where", sql="""

@@ -6,9 +6,9 @@ the Parquet scans of ``lineitem``, ``part`` and ``region``. Money is DECIMAL fro
 operation, so sums do not depend on the order of the rows. Row values stay within 18 digits, where
 Spark computes decimals as longs.
 
-No join hint is used. Spark broadcasts a side only when its measured size is below
-``spark.sql.autoBroadcastJoinThreshold`` and otherwise shuffles both sides; adaptive execution
-splits a hot join key.
+A side is broadcast only when its rows were counted and are few (``small_side``) or when Spark finds
+its size below ``spark.sql.autoBroadcastJoinThreshold``; otherwise both sides are shuffled and adaptive
+execution splits a hot join key.
 """
 
 from __future__ import annotations
@@ -158,9 +158,15 @@ class Star:
     def lines(
         self, months: Months | None = None, product_line: str | None = None, region: str | None = None
     ) -> DataFrame:
-        """Line items with region and product, one row per line; catalyst prunes what a view does not use."""
-        orders = small_side(self.order_region(region), self.rows("orders"))
-        parts = small_side(self.parts(product_line), self.rows("part"))
+        """Line items with region and product, one row per line; Catalyst prunes what a view does not use.
+
+        Over the whole history the line items are the large side, so orders and parts are broadcast
+        when their counted rows are few. A month range may make the line items the small side;
+        there the choice is left to Spark.
+        """
+        orders, parts = self.order_region(region), self.parts(product_line)
+        if months is None:
+            orders, parts = small_side(orders, self.rows("orders")), small_side(parts, self.rows("part"))
         base = self.shipped(months).join(orders, F.col("l_orderkey") == F.col("o_orderkey")).join(
             parts, F.col("l_partkey") == F.col("p_partkey")
         )
@@ -320,7 +326,9 @@ class Star:
         )
 
     def service_levels(self, months=None, region=None) -> DataFrame:
-        orders = small_side(self.order_region(region), self.rows("orders"))
+        orders = self.order_region(region)
+        if months is None:
+            orders = small_side(orders, self.rows("orders"))
         base = self.shipped(months).join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
         open_qty = F.when(F.col("l_linestatus") == "O", F.col("l_quantity").cast("bigint"))
         return base.groupBy("region", month_of("l_shipdate").alias("month")).agg(
@@ -361,7 +369,8 @@ class Star:
         orders = self.table("orders").select("o_orderkey", "o_custkey")
         if account_ids is not None:
             orders = orders.filter(F.col("o_custkey").isin(*[int(a.removeprefix("ACC")) for a in account_ids]))
-        orders = small_side(orders, self.rows("orders"))
+        if months is None:
+            orders = small_side(orders, self.rows("orders"))
         return self.shipped(months).join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
 
     def sales_actuals(self, months=None, account_ids=None) -> DataFrame:
