@@ -468,7 +468,7 @@ STATUSES = ("proposed", "approved", "executing", "executed", "rejected", "failed
 
 
 @REG.add("agg_ladder_zero_fill", "actions", """
-    SELECT l.level, s.status, COALESCE(c.n, 0) AS n, CAST(SUM(COALESCE(c.n, 0)) OVER (PARTITION BY l.level) AS BIGINT) AS total
+    SELECT CAST(l.level AS BIGINT) AS level, s.status, COALESCE(c.n, 0) AS n, CAST(SUM(COALESCE(c.n, 0)) OVER (PARTITION BY l.level) AS BIGINT) AS total
     FROM (VALUES (1), (2), (3), (4)) l(level)
     CROSS JOIN (VALUES ('proposed'), ('approved'), ('executing'), ('executed'), ('rejected'), ('failed'), ('escalated')) s(status)
     LEFT JOIN (SELECT level, status, COUNT(*) AS n FROM actions GROUP BY 1, 2) c ON c.level = l.level AND c.status = s.status""")

@@ -5,17 +5,10 @@ from pyspark.sql import functions as F
 from ..functions import columns as C
 from ..operators import documents as X
 from ..sources import io as IO
-from ..sources.tables import spread
 from .registry import Registry
 
 REG = Registry()
 
-
-def _texts(star):
-    """Whole texts are heavy per row, so a small input is spread over the cores first."""
-    return spread(star.table("documents"))
-
-
 # Words that mark a language or a document type.
 LANGUAGE_WORDS = {
     "en": ("the", "of", "and", "that", "was"), "fr": ("le", "une", "que", "pour", "dans"),
@@ -38,7 +31,7 @@ SHEET_FIELDS = {
 
 @REG.add("doc_parse")
 def _(star):
-    parsed = X.doc_parse(spread(star.table("pages")))
+    parsed = X.doc_parse(star.heavy("pages"))
     return parsed.select("page_id", F.size("elements").cast("bigint").alias("elements"),
                          F.length("parsed_text").cast("bigint").alias("parsed_chars"), "parsed_text")
 
@@ -58,7 +51,7 @@ def _hits(words):
         SELECT doc_id, lang, {", ".join(f"{_hits(w)} AS {k}" for k, w in LANGUAGE_WORDS.items())}
         FROM (SELECT doc_id, lang, {WORDS_SQL} AS ws FROM documents) t) s) b""")
 def _(star):
-    return X.doc_classify(_texts(star).select("doc_id", "lang", "text"), LANGUAGE_WORDS).drop("text")
+    return X.doc_classify(star.heavy("documents").select("doc_id", "lang", "text"), LANGUAGE_WORDS).drop("text")
 
 
 def _typed_docs(star):
@@ -111,7 +104,7 @@ PII_FIELDS = {"email": f"({C.EMAIL_PATTERN})", "phone": f"({C.PHONE_PATTERN})",
 
 @REG.add("doc_extract_contacts", sql=f"SELECT doc_id, {_rx(PII_FIELDS)} FROM documents")
 def _(star):
-    return X.doc_extract(_texts(star), PII_FIELDS).select("doc_id", "fields.*")
+    return X.doc_extract(star.heavy("documents"), PII_FIELDS).select("doc_id", "fields.*")
 
 
 @REG.add("fuse_struct_unstruct", "contract_docs", """
@@ -130,7 +123,7 @@ def _(star):
                 FROM (SELECT doc_id, lang, {WORDS_SQL} AS ws FROM documents) t) s) b
           UNION ALL SELECT 'n_chars', length(text) = n_chars FROM documents) h GROUP BY 1""")
 def _(star):
-    docs = _texts(star)
+    docs = star.heavy("documents")
     labelled = X.doc_classify(docs.select("doc_id", "text"), LANGUAGE_WORDS)
     found = labelled.select("doc_id", F.struct(F.col("doc_label").alias("lang"), F.length("text").alias("n_chars")).alias("fields"))
     truth = docs.select("doc_id", F.struct("lang", "n_chars").alias("fields"))
@@ -160,7 +153,7 @@ CHUNKS_SQL = """chunks AS (
 
 @REG.add("doc_chunk", sql="SELECT chunk_id, doc_id, seq, chunk_text FROM chunks", extra=CHUNKS_SQL)
 def _(star):
-    return X.doc_chunk(_texts(star))
+    return X.doc_chunk(star.heavy("documents"))
 
 
 @REG.add("agg_text_stats", sql="""
@@ -168,26 +161,26 @@ def _(star):
            MIN(length(chunk_text)) AS min_chars, MAX(length(chunk_text)) AS max_chars FROM chunks""", extra=CHUNKS_SQL)
 def _(star):
     size = F.length("chunk_text").cast("bigint")
-    return X.doc_chunk(_texts(star)).agg(
+    return X.doc_chunk(star.heavy("documents")).agg(
         F.count(F.lit(1)).alias("n_chunks"), F.countDistinct("doc_id").alias("n_docs"),
         F.round(F.avg(size), 0).alias("avg_chunk_chars"), F.min(size).alias("min_chars"), F.max(size).alias("max_chars"))
 
 
 @REG.add("doc_embed")
 def _(star):
-    embedded = X.doc_embed(X.doc_chunk(_texts(star)))
+    embedded = X.doc_embed(X.doc_chunk(star.heavy("documents")))
     return embedded.select("chunk_id", "doc_id", F.size("embedding").cast("bigint").alias("dim"), "embedding")
 
 
 @REG.add("text_mask", sql=f"""
     SELECT doc_id, regexp_replace(regexp_replace(text, '{C.EMAIL_PATTERN}', '[EMAIL]', 'g'), '{C.PHONE_PATTERN}', '[PHONE]', 'g') AS masked FROM documents""")
 def _(star):
-    return _texts(star).select("doc_id", C.mask_text("text").alias("masked"))
+    return star.heavy("documents").select("doc_id", C.mask_text("text").alias("masked"))
 
 
 @REG.add("text_summarize", sql=r"SELECT doc_id, array_to_string(list_slice(string_split_regex(text, '\s+'), 1, 20), ' ') AS summary FROM documents")
 def _(star):
-    return _texts(star).select("doc_id", C.lead_words("text", 20).alias("summary"))
+    return star.heavy("documents").select("doc_id", C.lead_words("text", 20).alias("summary"))
 
 
 @REG.add("ai_map", sql="""

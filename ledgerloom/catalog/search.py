@@ -4,7 +4,6 @@ from pyspark.sql import functions as F
 
 from ..operators import documents as X
 from ..operators import vectors as V
-from ..sources.tables import spread
 from .registry import Registry
 
 REG = Registry()
@@ -66,6 +65,6 @@ def _(star):
 @REG.add("batch_answer_text")
 def _(star):
     questions = X.doc_embed(star.table("benchmark").select(F.col("item_id").alias("query_id"), "text"), "text")
-    chunks = X.doc_embed(X.doc_chunk(spread(star.table("documents"))))
+    chunks = X.doc_embed(X.doc_chunk(star.heavy("documents")))
     hits = V.vec_topk(chunks, questions, 1, id_col="chunk_id")
     return V.batch_answer(questions.select("query_id"), hits, 0.8)

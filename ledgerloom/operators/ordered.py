@@ -19,10 +19,13 @@ _POSITION_BITS = 33
 
 
 def sliced(df: DataFrame, keys: Sequence[str], order: Sequence[str], slices: int | None = None) -> DataFrame:
-    """``df`` sorted globally by keys and order, with ``_slice`` and the position ``_pos`` inside it."""
-    n = slices or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    """``df`` sorted globally by keys and order, with ``_slice`` and the position ``_pos`` inside it.
+
+    Without ``slices`` their number follows the size of the data (adaptive execution merges small ones).
+    """
     cols = [F.col(c) for c in (*keys, *order)]
-    ranged = df.repartitionByRange(n, *cols).sortWithinPartitions(*cols).withColumn(
+    spread_out = df.repartitionByRange(slices, *cols) if slices else df.repartitionByRange(*cols)
+    ranged = spread_out.sortWithinPartitions(*cols).withColumn(
         "_row", F.monotonically_increasing_id()
     )
     marked = ranged.select(

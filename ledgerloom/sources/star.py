@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import cut_lineage
-from .tables import Months, count_rows, in_months, month_of, next_month, read_table, small_side, spread
+from .tables import Months, count_rows, in_months, month_of, next_month, read_spread, read_table, small_side
 
 # Fixed values of the fixture.
 AS_OF = date(2000, 6, 1)
@@ -87,6 +87,10 @@ class Star:
     def table(self, name: str) -> DataFrame:
         return read_table(self.spark, self.root, name)
 
+    def heavy(self, name: str) -> DataFrame:
+        """A table whose rows are costly to process, spread over the cores when it is small."""
+        return read_spread(self.spark, self.root, name)
+
     def with_finance_facts(self, months=None, product_line=None, region=None) -> Star:
         """A star whose finance views share one stored aggregate.
 
@@ -434,7 +438,7 @@ class Star:
 
     def actions(self) -> DataFrame:
         """One action per order; the payload is JSON text as an application would have stored it."""
-        o = spread(self.table("orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"))
+        o = self.heavy("orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority")
         cust = self.located(self.table("customer").select("c_custkey", "c_nationkey"), "c_nationkey")
         cust = small_side(cust.select("c_custkey", "region"), self.rows("customer"))
         k, p = F.col("o_orderkey"), F.col("o_orderpriority")

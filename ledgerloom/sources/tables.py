@@ -53,13 +53,20 @@ def small_side(df: DataFrame, rows: int) -> DataFrame:
     return F.broadcast(df) if rows <= BROADCAST_ROWS else df
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Give a scan with fewer splits than cores one partition per core before heavy per-row work.
+_SPLITS: dict[tuple[str, str], int] = {}
+
+
+def read_spread(spark: SparkSession, root: str, name: str) -> DataFrame:
+    """An input table for heavy per-row work: one partition per core if its scan has fewer splits.
 
     Files of a cluster-sized table have far more splits than cores; there this changes nothing.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    df = read_table(spark, root, name)
+    key = (spark.sparkContext.applicationId, f"{root}/{name}.parquet")
+    if key not in _SPLITS:
+        _SPLITS[key] = df.rdd.getNumPartitions()
+    cores = spark.sparkContext.defaultParallelism
+    return df.repartition(cores) if _SPLITS[key] < cores else df
 
 
 def month_of(col: Column | str) -> Column:
