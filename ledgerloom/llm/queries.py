@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from .packing import pack
+from .pii import pii_report
 from .sharding import byte_shards
 from .tables import read
 
@@ -13,12 +14,17 @@ def op1_pack(spark: SparkSession, root: str) -> DataFrame:
     return pack(read(spark, root, "documents"))
 
 
+def op5_pii(spark: SparkSession, root: str) -> DataFrame:
+    return pii_report(read(spark, root, "documents"))
+
+
 def op10_shards(spark: SparkSession, root: str) -> DataFrame:
     return byte_shards(read(spark, root, "documents"))
 
 
 QUERIES = {
     "op1_pack": op1_pack,
+    "op5_pii": op5_pii,
     "op10_shards": op10_shards,
 }
 
