@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .decontam import overlap_report
 from .packing import pack
 from .pii import pii_report
 from .sharding import byte_shards
@@ -18,6 +19,10 @@ def op5_pii(spark: SparkSession, root: str) -> DataFrame:
     return pii_report(read(spark, root, "documents"))
 
 
+def op6_decontam(spark: SparkSession, root: str) -> DataFrame:
+    return overlap_report(read(spark, root, "documents"), read(spark, root, "benchmark"))
+
+
 def op10_shards(spark: SparkSession, root: str) -> DataFrame:
     return byte_shards(read(spark, root, "documents"))
 
@@ -25,10 +30,39 @@ def op10_shards(spark: SparkSession, root: str) -> DataFrame:
 QUERIES = {
     "op1_pack": op1_pack,
     "op5_pii": op5_pii,
+    "op6_decontam": op6_decontam,
     "op10_shards": op10_shards,
 }
 
+#: Words of a text as the contract of operator 6 takes them.
+_WORDS = r"regexp_extract_all(translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+
 ORACLES = {
+    "op6_decontam": f"""
+WITH text_words AS (
+    SELECT doc_id, {_WORDS.format("coalesce(text, '')")} AS w FROM documents
+), item_words AS (
+    SELECT item_id, {_WORDS.format("coalesce(text, '')")} AS w FROM benchmark
+), item_grams AS (
+    SELECT DISTINCT item_id, least(10, len(w)) AS n, array_to_string(w[i:i + least(10, len(w)) - 1], ' ') AS gram
+    FROM (SELECT item_id, w, unnest(range(1, len(w) - least(10, len(w)) + 2)) AS i FROM item_words WHERE len(w) > 0)
+), sizes AS (
+    SELECT DISTINCT n FROM item_grams
+), text_grams AS (
+    SELECT doc_id, n, i, array_to_string(w[i:i + n - 1], ' ') AS gram
+    FROM (SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM text_words CROSS JOIN sizes WHERE len(w) >= n)
+), hits AS (
+    SELECT doc_id, i, n, item_id FROM text_grams JOIN item_grams USING (n, gram)
+), covered AS (
+    SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + n)) AS p FROM hits) GROUP BY doc_id
+), listed AS (
+    SELECT doc_id, count(*) AS n_items, string_agg(name, ',' ORDER BY name) AS names
+    FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS name FROM hits) GROUP BY doc_id
+)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(names, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM text_words LEFT JOIN covered USING (doc_id) LEFT JOIN listed USING (doc_id)
+""",
     # sizes, order and running sums in one pass over the whole table
     "op10_shards": """
 WITH sized AS (
