@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from .decontam import overlap_report
 from .packing import pack
 from .pii import pii_report
+from .quality import score_quality
 from .sharding import byte_shards
 from .tables import read
 
@@ -23,6 +24,10 @@ def op6_decontam(spark: SparkSession, root: str) -> DataFrame:
     return overlap_report(read(spark, root, "documents"), read(spark, root, "benchmark"))
 
 
+def op9_quality(spark: SparkSession, root: str) -> DataFrame:
+    return score_quality(read(spark, root, "documents"), read(spark, root, "labels")).drop("text_key")
+
+
 def op10_shards(spark: SparkSession, root: str) -> DataFrame:
     return byte_shards(read(spark, root, "documents"))
 
@@ -31,6 +36,7 @@ QUERIES = {
     "op1_pack": op1_pack,
     "op5_pii": op5_pii,
     "op6_decontam": op6_decontam,
+    "op9_quality": op9_quality,
     "op10_shards": op10_shards,
 }
 
