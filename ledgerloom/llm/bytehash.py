@@ -38,6 +38,9 @@ BYTE_VALUES = mix(np.arange(1, 257, dtype=U) * U(_C))
 LOWER = np.arange(256)
 LOWER[65:91] += 32
 LOWER_VALUES = BYTE_VALUES[LOWER]
+#: Words of letters: ASCII letters and all bytes outside ASCII.
+LETTER_RUNS = np.zeros(256, bool)
+LETTER_RUNS[65:91] = LETTER_RUNS[97:123] = LETTER_RUNS[128:] = True
 _UP, _DOWN = _powers(_C, CHUNK + 1), _powers(pow(_C, -1, 1 << 64), CHUNK + 1)
 
 

@@ -10,6 +10,7 @@ from .pii import pii_report
 from .quality import score_quality
 from .sharding import byte_shards
 from .tables import read
+from .toxicity import score_toxicity
 
 
 def op1_pack(spark: SparkSession, root: str) -> DataFrame:
@@ -24,6 +25,10 @@ def op6_decontam(spark: SparkSession, root: str) -> DataFrame:
     return overlap_report(read(spark, root, "documents"), read(spark, root, "benchmark"))
 
 
+def op8_toxicity(spark: SparkSession, root: str) -> DataFrame:
+    return score_toxicity(read(spark, root, "documents"), read(spark, root, "labels"))
+
+
 def op9_quality(spark: SparkSession, root: str) -> DataFrame:
     return score_quality(read(spark, root, "documents"), read(spark, root, "labels")).drop("text_key")
 
@@ -36,6 +41,7 @@ QUERIES = {
     "op1_pack": op1_pack,
     "op5_pii": op5_pii,
     "op6_decontam": op6_decontam,
+    "op8_toxicity": op8_toxicity,
     "op9_quality": op9_quality,
     "op10_shards": op10_shards,
 }
