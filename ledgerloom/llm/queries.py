@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from .decontam import overlap_report
+from .neardup import near_duplicates
 from .packing import pack
 from .pii import pii_report
 from .quality import score_quality
@@ -17,6 +18,10 @@ def op1_pack(spark: SparkSession, root: str) -> DataFrame:
     return pack(read(spark, root, "documents"))
 
 
+def op4_neardup(spark: SparkSession, root: str) -> DataFrame:
+    return near_duplicates(read(spark, root, "documents"), shingle=3, percent=85).drop("text_key")
+
+
 def op5_pii(spark: SparkSession, root: str) -> DataFrame:
     return pii_report(read(spark, root, "documents"))
 
@@ -39,6 +44,7 @@ def op10_shards(spark: SparkSession, root: str) -> DataFrame:
 
 QUERIES = {
     "op1_pack": op1_pack,
+    "op4_neardup": op4_neardup,
     "op5_pii": op5_pii,
     "op6_decontam": op6_decontam,
     "op8_toxicity": op8_toxicity,
@@ -50,6 +56,27 @@ QUERIES = {
 _WORDS = r"regexp_extract_all(translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
 
 ORACLES = {
+    "op4_neardup": r"""
+WITH RECURSIVE text_words AS (
+    SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
+    FROM documents
+), shingles AS (
+    SELECT DISTINCT doc_id, array_to_string(w[i:i + least(3, len(w)) - 1], ' ') AS s
+    FROM (SELECT doc_id, w, unnest(range(1, len(w) - least(3, len(w)) + 2)) AS i FROM text_words WHERE len(w) > 0)
+), sizes AS (
+    SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id
+), shared AS (
+    SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS both FROM shingles a JOIN shingles b ON a.s = b.s AND a.doc_id <> b.doc_id GROUP BY ALL
+), links AS (
+    SELECT x, y FROM shared JOIN sizes p ON p.doc_id = x JOIN sizes q ON q.doc_id = y WHERE 100 * both >= 85 * (p.n + q.n - both)
+), reached AS (
+    SELECT doc_id AS x, doc_id AS y FROM documents
+    UNION
+    SELECT r.x, l.y FROM reached r JOIN links l ON l.x = r.y
+)
+SELECT d.doc_id, coalesce(n, 0) AS n_shingles, c.component_id, d.doc_id = c.component_id AS kept
+FROM documents d LEFT JOIN sizes USING (doc_id) JOIN (SELECT x, min(y) AS component_id FROM reached GROUP BY x) c ON c.x = d.doc_id
+""",
     "op6_decontam": f"""
 WITH text_words AS (
     SELECT doc_id, {_WORDS.format("coalesce(text, '')")} AS w FROM documents
