@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from .decontam import overlap_report
+from .hnsw import nearest
 from .neardup import near_duplicates
 from .packing import pack
 from .pii import pii_report
@@ -18,6 +19,10 @@ def op1_pack(spark: SparkSession, root: str) -> DataFrame:
     return pack(read(spark, root, "documents"))
 
 
+def op2_nearest(spark: SparkSession, root: str) -> DataFrame:
+    return nearest(read(spark, root, "embeddings"))
+
+
 def op4_neardup(spark: SparkSession, root: str) -> DataFrame:
     return near_duplicates(read(spark, root, "documents"), shingle=3, percent=85).drop("text_key")
 
@@ -44,6 +49,7 @@ def op10_shards(spark: SparkSession, root: str) -> DataFrame:
 
 QUERIES = {
     "op1_pack": op1_pack,
+    "op2_nearest": op2_nearest,
     "op4_neardup": op4_neardup,
     "op5_pii": op5_pii,
     "op6_decontam": op6_decontam,
@@ -66,9 +72,9 @@ WITH RECURSIVE text_words AS (
 ), sizes AS (
     SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id
 ), shared AS (
-    SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS both FROM shingles a JOIN shingles b ON a.s = b.s AND a.doc_id <> b.doc_id GROUP BY ALL
+    SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS common FROM shingles a JOIN shingles b ON a.s = b.s AND a.doc_id <> b.doc_id GROUP BY ALL
 ), links AS (
-    SELECT x, y FROM shared JOIN sizes p ON p.doc_id = x JOIN sizes q ON q.doc_id = y WHERE 100 * both >= 85 * (p.n + q.n - both)
+    SELECT x, y FROM shared JOIN sizes p ON p.doc_id = x JOIN sizes q ON q.doc_id = y WHERE 100 * common >= 85 * (p.n + q.n - common)
 ), reached AS (
     SELECT doc_id AS x, doc_id AS y FROM documents
     UNION
