@@ -11,13 +11,12 @@ from pyspark.sql import functions as F
 
 from .bytehash import mix, slices
 from .graph import components
+from .keyfilter import key_filter
 from .minhash import Sketcher, shingle_sets
 from .tables import cut_lineage, text_of
 
 #: Members of a bucket that are compared with as many others in one step; larger buckets are split into such blocks.
 BLOCK = 256
-#: Bits of the filter that keeps texts without a candidate out of the shuffle. Fixed: 4 MB whatever the input.
-FILTER_BITS = 1 << 25
 
 
 def _sketched(docs: DataFrame, shingle: int, sketcher: Sketcher) -> DataFrame:
@@ -111,35 +110,15 @@ def _compared(rows: DataFrame, sketcher: Sketcher, limit: float) -> DataFrame:
         "group", "cid", "n", "root", "mine", "other", "registers", "counts").mapInArrow(run, "a bigint, b bigint").distinct()
 
 
-def _filter(keys: DataFrame) -> np.ndarray:
-    """A fixed number of bits, of which those of the keys' hashes are set. It only saves moving texts."""
-    bits = np.zeros(FILTER_BITS // 8, np.uint8)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = np.zeros(FILTER_BITS, bool)
-        for batch in batches:
-            own[mix(batch.column(0).to_numpy(zero_copy_only=False).view(np.uint64)) % np.uint64(FILTER_BITS)] = True
-        packed = np.packbits(own)
-        at = np.flatnonzero(packed)
-        if len(at):
-            yield pa.record_batch([at.astype(np.int32), packed[at].astype(np.int32)], ["at", "byte"])
-
-    for at, byte in keys.mapInArrow(run, "at int, byte int").groupBy("at").agg(F.bit_or("byte")).toLocalIterator():
-        bits[at] |= byte
-    return bits
-
-
 def _confirmed(pairs: DataFrame, classes: DataFrame, docs: DataFrame, shingle: int, percent: int) -> DataFrame:
     """The pairs whose full shingle sets have 100 * intersection >= percent * union."""
     reps = classes.select("cid", F.col("rep.doc_id").alias("doc_id"), F.col("rep.text_key").alias("text_key"))
     wanted = cut_lineage(pairs.select(F.explode(F.array("a", "b")).alias("cid")).distinct().join(reps, "cid"))
-    bits = _filter(wanted.select("text_key"))
+    maybe = key_filter(wanted.select("text_key"))
 
     def some(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            at = mix(batch.column(1).to_numpy(zero_copy_only=False).view(np.uint64)) % np.uint64(FILTER_BITS)
-            keep = (bits[at >> np.uint64(3)] >> (7 - (at & np.uint64(7))).astype(np.uint8)) & 1
-            yield batch.filter(pa.array(keep.astype(bool)))
+            yield batch.filter(pa.array(maybe(batch.column(1))))
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     near = docs.mapInArrow(some, f"doc_id {kind}, text_key bigint, text string")

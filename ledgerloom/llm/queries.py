@@ -11,6 +11,7 @@ from .packing import pack
 from .pii import pii_report
 from .quality import score_quality
 from .sharding import byte_shards
+from .substrings import remove_repeats
 from .tables import read
 from .toxicity import score_toxicity
 
@@ -23,6 +24,10 @@ def op2_nearest(spark: SparkSession, root: str) -> DataFrame:
     return nearest(read(spark, root, "embeddings"))
 
 
+def op3_substrings(spark: SparkSession, root: str) -> DataFrame:
+    return remove_repeats(read(spark, root, "documents")).drop("kept")
+
+
 def op4_neardup(spark: SparkSession, root: str) -> DataFrame:
     return near_duplicates(read(spark, root, "documents"), shingle=3, percent=85).drop("text_key")
 
@@ -50,6 +55,7 @@ def op10_shards(spark: SparkSession, root: str) -> DataFrame:
 QUERIES = {
     "op1_pack": op1_pack,
     "op2_nearest": op2_nearest,
+    "op3_substrings": op3_substrings,
     "op4_neardup": op4_neardup,
     "op5_pii": op5_pii,
     "op6_decontam": op6_decontam,
