@@ -69,7 +69,7 @@ class Prefix:
 
 
 def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """The bytes of a string column without nulls, and the limits of its rows in them."""
+    """The bytes of a string column, and the limits of its rows in them. Nulls are filled beforehand."""
     wide = column.cast(pa.large_binary()) if not pa.types.is_large_binary(column.type) else column
     limits = np.frombuffer(wide.buffers()[1], np.int64, len(wide) + 1, 8 * wide.offset) if len(wide) else np.zeros(1, np.int64)
     held = wide.buffers()[2]
@@ -116,7 +116,7 @@ def row_of(starts: np.ndarray, limits: np.ndarray) -> np.ndarray:
 def slices(batches: Iterator[pa.RecordBatch], column: int, limit: int = 8 << 20) -> Iterator[pa.RecordBatch]:
     """The rows in pieces of about ``limit`` bytes of text, whatever the size of the batches."""
     for batch in batches:
-        _, limits = text_bytes(batch.column(column))
+        _, limits = text_bytes(batch.column(column).fill_null("") if batch.column(column).null_count else batch.column(column))
         at = 0
         while at < batch.num_rows:
             to = max(at + 1, int(np.searchsorted(limits, limits[at] + limit, "right")) - 1)

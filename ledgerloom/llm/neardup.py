@@ -191,3 +191,15 @@ def near_duplicates(
     group = F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id"))
     return sketched.select("doc_id", "text_key", "n", F.when(F.col("n") > 0, F.col("cid")).alias("cid")).join(owner, "cid", "left").select(
         "doc_id", "text_key", F.col("n").alias("n_shingles"), group.alias("component_id"), F.col("doc_id").eqNullSafe(group).alias("kept"))
+
+
+def keep_one(docs: DataFrame, shingle: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+    """The rows of ``docs``, with all their columns, that keep one document of each near-duplicate group: the smallest id.
+
+    A row that repeats both id and text of another is dropped too. Null ids count as one id.
+    """
+    found = near_duplicates(docs, shingle, percent, id_col=id_col, text_col=text_col, **options)
+    stay = found.filter("kept").select(F.col("doc_id").alias("__of"), F.col("text_key").alias("__key")).distinct()
+    keyed = docs.withColumn("__text_key", F.xxhash64(text_of(text_col)))
+    one = keyed.join(stay, F.col(id_col).eqNullSafe(F.col("__of")) & (F.col("__text_key") == F.col("__key")), "left_semi")
+    return one.dropDuplicates([id_col, "__text_key"]).drop("__text_key")

@@ -6,6 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -82,18 +83,17 @@ def statistics_of(column: pa.Array) -> np.ndarray:
 
 
 def statistics(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``doc_id``, ``text_key`` (a hash of the text) and ``x`` (array of ``STATISTICS``) for every row."""
-    text = text_of(text_col)
-    rows = docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(text).alias("text_key"), text.alias("text"))
+    """``doc_id`` and ``x`` (array of ``STATISTICS``) for every row."""
+    rows = docs.select(F.col(id_col).alias("doc_id"), text_of(text_col).alias("text"))
     kind = rows.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, 2):
-            x = statistics_of(batch.column(2))
+        for batch in slices(batches, 1):
+            x = statistics_of(batch.column(1))
             flat = pa.ListArray.from_arrays(np.arange(len(x) + 1, dtype=np.int32) * x.shape[1], x.ravel())
-            yield pa.record_batch([batch.column(0), batch.column(1), flat], ["doc_id", "text_key", "x"])
+            yield pa.record_batch([batch.column(0), flat], ["doc_id", "x"])
 
-    return rows.mapInArrow(run, f"doc_id {kind}, text_key bigint, x array<double>")
+    return rows.mapInArrow(run, f"doc_id {kind}, x array<double>")
 
 
 class Fourier:
@@ -146,11 +146,54 @@ def isotonic(x: np.ndarray, y: np.ndarray, weight: np.ndarray) -> tuple[np.ndarr
     return out[:, 0] / out[:, 2], out[:, 1] / out[:, 2]
 
 
+class Model:
+    """Ridge weights over random features, and the steps that turn raw scores into probabilities."""
+
+    def __init__(self, fourier: Fourier, weights: np.ndarray, grid: int) -> None:
+        self.fourier, self.weights, self.grid = fourier, weights, grid
+        self.xs, self.ys = np.zeros(1), np.full(1, 0.5)
+
+    def raw(self, x: np.ndarray) -> np.ndarray:
+        return np.clip(self.fourier(x) @ self.weights, -1.0, 2.0)
+
+    def score(self, x: np.ndarray) -> np.ndarray:
+        return np.clip(np.interp(self.raw(x), self.xs, self.ys), 0, 1)
+
+    def calibrate(self, training: DataFrame, width: int) -> None:
+        def binned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                at = np.round(self.raw(_matrix(batch.column(0), width)) * self.grid).astype(np.int32)
+                yield pa.record_batch([at, batch.column(1)], ["at", "y"])
+
+        # at most 3 * grid + 1 steps, as raw scores are cut to -1..2
+        steps = sorted(training.mapInArrow(binned, "at int, y double").groupBy("at").agg(F.avg("y"), F.count("*")).collect())
+        if steps:
+            at, height, count = (np.array(c, float) for c in zip(*steps))
+            self.xs, self.ys = isotonic(at / self.grid, height, count)
+
+
+def fit_quality(
+    kept: DataFrame, labels: DataFrame, label: str = "quality", features: int = 256, width: float = 3.0, ridge: float = 1e-3,
+    grid: int = 512, seed: int = 7,
+) -> Model:
+    """Fit on stored statistics of all texts and on the labels of all rows that are not held out."""
+    n_x = len(STATISTICS)
+    moments = kept.agg(*(f(F.col("x")[i]) for i in range(n_x) for f in (F.avg, F.stddev_pop))).first()
+    mean, dev = (np.array([v or 0.0 for v in moments[i::2]]) for i in (0, 1))
+    fourier = Fourier(mean, dev, features, width, seed)
+    known = labels.select(F.col("doc_id").alias("of"), F.col(label).cast("double").alias("y")).filter("y IS NOT NULL AND of IS NOT NULL")
+    training = kept.filter(~held_out()).join(known, F.col("doc_id") == F.col("of")).select("x", "y")
+    gram, target = _normal_equations(training, fourier, n_x)
+    weights = np.linalg.solve(gram + ridge * max(gram[-1, -1], 1) / features * np.eye(len(gram)), target)
+    model = Model(fourier, weights, grid)
+    model.calibrate(training, n_x)
+    return model
+
+
 def score_quality(
-    docs: DataFrame, labels: DataFrame, label: str = "quality", features: int = 256, width: float = 3.0, ridge: float = 1e-3,
-    grid: int = 512, threshold: float = 0.3, seed: int = 7, id_col: str = "doc_id", text_col: str = "text",
+    docs: DataFrame, labels: DataFrame, label: str = "quality", threshold: float = 0.3, id_col: str = "doc_id", text_col: str = "text", **options,
 ) -> DataFrame:
-    """Per row: ``doc_id``, ``text_key``, ``held_out``, ``score`` in 0..1 (higher: label 1 likelier), ``predicted``.
+    """Per row: ``doc_id``, ``held_out``, ``score`` in 0..1 (higher: label 1 likelier), ``predicted``.
 
     Labels are read only from rows that are not held out (crc32 of the id modulo 5). Statistics of every text are stored
     once; their means and deviations come from all rows, the normal equations from all training rows as sums per
@@ -160,35 +203,28 @@ def score_quality(
     their score; without training rows every score is 0.5; no rows give no rows. Other columns are not read.
     """
     kept = cut_lineage(statistics(docs, id_col, text_col))
-    width_x = len(STATISTICS)
-    moments = kept.agg(*(f(F.col("x")[i]) for i in range(width_x) for f in (F.avg, F.stddev_pop))).first()
-    mean, dev = (np.array([v or 0.0 for v in moments[i::2]]) for i in (0, 1))
-    fourier = Fourier(mean, dev, features, width, seed)
-    known = labels.select(F.col("doc_id").alias("of"), F.col(label).cast("double").alias("y")).filter("y IS NOT NULL AND of IS NOT NULL")
-    training = kept.filter(~held_out()).join(known, F.col("doc_id") == F.col("of")).select("x", "y")
-    gram, target = _normal_equations(training, fourier, width_x)
-    n = gram[-1, -1]
-    weights = np.linalg.solve(gram + ridge * max(n, 1) / features * np.eye(len(gram)), target)
-
-    def raw_of(column: pa.Array) -> np.ndarray:
-        return np.clip(fourier(_matrix(column, width_x)) @ weights, -1.0, 2.0)
-
-    def binned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            at = np.round(raw_of(batch.column(0)) * grid).astype(np.int32)
-            yield pa.record_batch([at, batch.column(1)], ["at", "y"])
-
-    steps = sorted(training.mapInArrow(binned, "at int, y double").groupBy("at").agg(F.avg("y"), F.count("*")).collect())
-    if steps:
-        at, height, count = (np.array(c, float) for c in zip(*steps))
-        xs, ys = isotonic(at / grid, height, count)
-    else:
-        xs, ys = np.zeros(1), np.full(1, 0.5)
+    model = fit_quality(kept, labels, label, **options)
 
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            yield pa.record_batch([batch.column(0), batch.column(1), np.clip(np.interp(raw_of(batch.column(2)), xs, ys), 0, 1)], ["doc_id", "text_key", "score"])
+            yield pa.record_batch([batch.column(0), model.score(_matrix(batch.column(1), len(STATISTICS)))], ["doc_id", "score"])
 
     kind = kept.schema["doc_id"].dataType.simpleString()
-    out = kept.mapInArrow(scored, f"doc_id {kind}, text_key bigint, score double")
-    return out.select("doc_id", "text_key", held_out().alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted"))
+    out = kept.select("doc_id", "x").mapInArrow(scored, f"doc_id {kind}, score double")
+    return out.select("doc_id", held_out().alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted"))
+
+
+def keep_good(
+    docs: DataFrame, labels: DataFrame, label: str = "quality", threshold: float = 0.3, id_col: str = "doc_id", text_col: str = "text", **options,
+) -> DataFrame:
+    """The rows of ``docs``, with all their columns, whose score reaches ``threshold``. No shuffle of texts: the fitted
+    model goes over the rows a second time."""
+    model = fit_quality(cut_lineage(statistics(docs, id_col, text_col)), labels, label, **options)
+    at = docs.columns.index(text_col)
+
+    def good(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, at):
+            keep = model.score(statistics_of(pc.fill_null(batch.column(at), ""))) >= threshold
+            yield batch.filter(pa.array(keep))
+
+    return docs.mapInArrow(good, docs.schema)

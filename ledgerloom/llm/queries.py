@@ -45,7 +45,7 @@ def op8_toxicity(spark: SparkSession, root: str) -> DataFrame:
 
 
 def op9_quality(spark: SparkSession, root: str) -> DataFrame:
-    return score_quality(read(spark, root, "documents"), read(spark, root, "labels")).drop("text_key")
+    return score_quality(read(spark, root, "documents"), read(spark, root, "labels"))
 
 
 def op10_shards(spark: SparkSession, root: str) -> DataFrame:
