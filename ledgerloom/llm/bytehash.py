@@ -15,7 +15,7 @@ U = np.uint64
 _C = 0x9E3779B97F4A7C15
 _MASK = (1 << 64) - 1
 #: Bytes hashed at once; eight bytes per array element make this the memory of a task.
-CHUNK = 1 << 20
+CHUNK = 1 << 18
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -113,7 +113,7 @@ def row_of(starts: np.ndarray, limits: np.ndarray) -> np.ndarray:
     return np.searchsorted(starts, limits, "left")
 
 
-def slices(batches: Iterator[pa.RecordBatch], column: int, limit: int = 8 << 20) -> Iterator[pa.RecordBatch]:
+def slices(batches: Iterator[pa.RecordBatch], column: int, limit: int = 2 << 20) -> Iterator[pa.RecordBatch]:
     """The rows in pieces of about ``limit`` bytes of text, whatever the size of the batches."""
     for batch in batches:
         _, limits = text_bytes(batch.column(column).fill_null("") if batch.column(column).null_count else batch.column(column))
