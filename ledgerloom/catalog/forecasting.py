@@ -33,7 +33,7 @@ def _(star):
     return X.forecast(_series(star), ("region",))
 
 
-HOLDOUT = (date(1995, 1, 1), date(2000, 3, 1))
+HOLDOUT = (None, date(2000, 3, 1))
 
 
 @REG.add("forecast_compare", "margin_actuals", """

@@ -5,11 +5,14 @@ from __future__ import annotations
 _REV = "CAST(CAST(l_extendedprice AS DECIMAL(12,2)) * (CAST(1 AS DECIMAL(3,2)) - CAST(l_discount AS DECIMAL(3,2))) AS DECIMAL(13,4))"
 _COGS = f"CAST({_REV} * (CAST(0.60 AS DECIMAL(3,2)) + CAST(l_tax AS DECIMAL(3,2))) AS DECIMAL(18,6))"
 _SKU = "product_line || '-' || CAST(regionkey AS VARCHAR) || '-' || CAST(size_digit AS VARCHAR)"
-_SHIPPED = "l_shipdate < TIMESTAMP '2000-07-01'"
+
+
+def padded(key: str, width: int) -> str:
+    return f"lpad(CAST({key} AS VARCHAR), CAST(greatest({width}, length(CAST({key} AS VARCHAR))) AS INTEGER), '0')"
 
 
 def account_id(key: str) -> str:
-    return f"'ACC' || lpad(CAST({key} AS VARCHAR), 12, '0')"
+    return f"'ACC' || {padded(key, 12)}"
 
 
 def month_of(col: str) -> str:
@@ -28,8 +31,7 @@ VIEWS: dict[str, tuple[tuple[str, ...], str]] = {
         SELECT o_custkey, l_suppkey, l_returnflag, l_linestatus, p_type AS product_line, p_size % 10 AS size_digit,
                regionkey, region, {month_of('l_shipdate')} AS month, CAST(l_quantity AS BIGINT) AS qty,
                CAST(l_extendedprice AS DECIMAL(12,2)) AS list_value, {_REV} AS revenue, {_COGS} AS cogs
-        FROM lineitem JOIN order_region ON l_orderkey = o_orderkey JOIN part ON l_partkey = p_partkey
-        WHERE {_SHIPPED}"""),
+        FROM lineitem JOIN order_region ON l_orderkey = o_orderkey JOIN part ON l_partkey = p_partkey"""),
     "finance_facts": (("lines",), f"""
         SELECT {_SKU} AS sku, region, month, CAST(SUM(qty) AS BIGINT) AS units,
                SUM(revenue) AS revenue, SUM(cogs) AS cogs, SUM(list_value) AS list_value
@@ -61,7 +63,7 @@ VIEWS: dict[str, tuple[tuple[str, ...], str]] = {
         SELECT currency, month,
                CASE WHEN currency = 'EUR' THEN CAST(1.0 AS DOUBLE)
                     ELSE ROUND(base * (CAST(1.0 AS DOUBLE) - CAST(0.002 AS DOUBLE) * (month(month) % 7)), 6) END AS rate_to_eur
-        FROM (SELECT DISTINCT {month_of('l_shipdate')} AS month FROM lineitem WHERE {_SHIPPED}) seen,
+        FROM (SELECT DISTINCT {month_of('l_shipdate')} AS month FROM lineitem) seen,
              (VALUES ('EUR', CAST(1.0 AS DOUBLE)), ('USD', CAST(0.925 AS DOUBLE)), ('GBP', CAST(1.155 AS DOUBLE)),
                      ('CNY', CAST(0.129 AS DOUBLE))) fx(currency, base)"""),
     "plant_lines": (("lines",), "SELECT *, l_suppkey % 6 AS plant_no FROM lines"),
@@ -93,10 +95,10 @@ VIEWS: dict[str, tuple[tuple[str, ...], str]] = {
         SELECT region, {month_of('l_shipdate')} AS month,
                ROUND(CAST(COUNT(*) FILTER (l_linestatus = 'F') AS DOUBLE) / COUNT(*), 4) AS service_pct,
                CAST(COALESCE(SUM(CASE WHEN l_linestatus = 'O' THEN CAST(l_quantity AS BIGINT) END), 0) AS BIGINT) AS backorder_units
-        FROM lineitem JOIN order_region ON l_orderkey = o_orderkey WHERE {_SHIPPED} GROUP BY 1, 2"""),
+        FROM lineitem JOIN order_region ON l_orderkey = o_orderkey GROUP BY 1, 2"""),
     "accounts": (("geo",), f"""
         SELECT {account_id('c_custkey')} AS account_id, c_name AS account_name, region, c_mktsegment AS segment,
-               n_name AS industry, 'REP' || lpad(CAST(n_nationkey AS VARCHAR), 2, '0') AS owner_rep
+               n_name AS industry, 'REP' || {padded('n_nationkey', 2)} AS owner_rep
         FROM customer JOIN geo ON c_nationkey = n_nationkey"""),
     "pipeline": ((), f"""
         SELECT o_orderkey AS opp_id, {account_id('o_custkey')} AS account_id,
@@ -109,7 +111,7 @@ VIEWS: dict[str, tuple[tuple[str, ...], str]] = {
         SELECT {account_id('o_custkey')} AS account_id, {month_of('l_shipdate')} AS month,
                SUM({_REV}) AS revenue_eur, CAST(SUM(CAST(l_quantity AS BIGINT)) AS BIGINT) AS volume_units,
                SUM({_REV}) - SUM({_COGS}) AS margin_eur
-        FROM lineitem JOIN orders ON l_orderkey = o_orderkey WHERE {_SHIPPED} GROUP BY o_custkey, 2"""),
+        FROM lineitem JOIN orders ON l_orderkey = o_orderkey GROUP BY o_custkey, 2"""),
     "churn_signals": ((), f"""
         SELECT {account_id('n')} AS account_id, month,
                CAST((n * 7919 + year(month) * 372 + month(month) * 31) % 1000 AS DOUBLE) / CAST(1000 AS DOUBLE) AS churn_score,
@@ -117,7 +119,7 @@ VIEWS: dict[str, tuple[tuple[str, ...], str]] = {
                CAST((n + month(month)) % 8 AS BIGINT) AS complaint_count,
                CAST((n * 31 + month(month) * 17) % 201 - 100 AS BIGINT) AS nps
         FROM (SELECT DISTINCT o_custkey AS n, {month_of('l_shipdate')} AS month
-              FROM lineitem JOIN orders ON l_orderkey = o_orderkey WHERE {_SHIPPED}) seen"""),
+              FROM lineitem JOIN orders ON l_orderkey = o_orderkey) seen"""),
     "payload_logs": ((), """
         SELECT event_id AS request_id, ts AS request_time, 'user' || CAST(user_id AS VARCHAR) AS requester,
                'group' || CAST(user_id % 4 AS VARCHAR) AS user_group, event_type AS served_model,

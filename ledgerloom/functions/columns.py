@@ -52,11 +52,15 @@ def digits_only(text: Column | str, to: str = "bigint") -> Column:
     return F.regexp_replace(_c(text), r"[^0-9]", "").try_cast(to)
 
 
+def zero_padded(number: Column | str, width: int) -> Column:
+    """The number as text with leading zeros up to ``width`` characters, never cut."""
+    text = _c(number).cast("string")
+    return F.when(F.length(text) >= width, text).otherwise(F.lpad(text, width, "0"))
+
+
 def chunk_id(doc_id: Column | str, seq: Column | str, width: int = 6) -> Column:
     """``doc_000007``. Numbers longer than ``width`` keep all their digits, so ids never collide."""
-    text = _c(seq).cast("string")
-    padded = F.when(F.length(text) >= width, text).otherwise(F.lpad(text, width, "0"))
-    return F.concat(_c(doc_id).cast("string"), F.lit("_"), padded)
+    return F.concat(_c(doc_id).cast("string"), F.lit("_"), zero_padded(seq, width))
 
 
 def yes_bool(text: Column | str) -> Column:

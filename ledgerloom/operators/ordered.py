@@ -1,9 +1,10 @@
-"""Row numbers and neighbours in an order, for keys of any size.
+"""Row numbers and neighbours in an order, for keys of any size, null keys included.
 
-A window function sends all rows of a key to one task. Here rows are range-partitioned by key and
-order, so a hot key spans many tasks. Each task numbers its own slice, and only one summary row per
-key and slice travels between slices. The slices are stored once: the summary and the rows
-must see the same assignment, also after an executor is lost. ``order`` must be unique per key.
+A window function sends all rows of a key to one task. That is the way for ordinary keys. Keys with
+more than ``HOT_ROWS`` rows are range-partitioned by key and order, so that each spans many tasks:
+every task numbers its own slice, and only one summary row per key and slice travels between slices.
+The slices are stored once: the summary and the rows must see the same assignment, also after an
+executor is lost. ``order`` must be unique per key. Both ways give the same rows.
 """
 
 from __future__ import annotations
@@ -16,6 +17,30 @@ from pyspark.sql import functions as F
 from ..session import cut_lineage
 
 _POSITION_BITS = 33
+#: Rows of a key that one task may hold.
+HOT_ROWS = 2_000_000
+
+
+def _matching(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str) -> DataFrame:
+    """Join by keys that may be null; ``right`` keeps its other columns only."""
+    renamed = right.withColumnsRenamed({k: f"_of_{k}" for k in keys})
+    on = [left[k].eqNullSafe(renamed[f"_of_{k}"]) for k in keys]
+    return left.join(renamed, on, how).drop(*[f"_of_{k}" for k in keys])
+
+
+def _by_size(df: DataFrame, keys: Sequence[str], slices: int | None, plain, split) -> DataFrame:
+    """``plain`` for ordinary keys and ``split`` for hot ones; with a given number of slices all keys are split."""
+    if slices or not keys:
+        return split(df)
+    hot = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > HOT_ROWS).drop("_n")
+    if hot.isEmpty():
+        return plain(df)
+    hot = cut_lineage(hot)
+    return plain(_matching(df, hot, keys, "left_anti")).unionByName(split(_matching(df, hot, keys, "left_semi")))
+
+
+def _in_order(keys: Sequence[str], order: Sequence[str]):
+    return Window.partitionBy(*keys).orderBy(*[F.col(c) for c in order])
 
 
 def sliced(df: DataFrame, keys: Sequence[str], order: Sequence[str], slices: int | None = None) -> DataFrame:
@@ -46,6 +71,11 @@ def _offsets(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
 def with_row_number(df: DataFrame, keys: Sequence[str], order: Sequence[str], name: str = "rn",
                     slices: int | None = None) -> DataFrame:
     """``row_number`` from 1 per key; with no keys, one numbering over the whole frame."""
+    return _by_size(df, keys, slices, lambda d: d.withColumn(name, F.row_number().over(_in_order(keys, order))),
+                    lambda d: _split_numbers(d, keys, order, name, slices))
+
+
+def _split_numbers(df: DataFrame, keys: Sequence[str], order: Sequence[str], name: str, slices: int | None) -> DataFrame:
     rows = sliced(df, keys, order, slices)
     if not keys:
         # One summary row per slice: a few hundred rows, far below any broadcast limit.
@@ -55,7 +85,7 @@ def with_row_number(df: DataFrame, keys: Sequence[str], order: Sequence[str], na
         numbered = rows.join(F.broadcast(offs), "_slice").withColumn(name, F.col("_before") + F.col("_pos") + 1)
     else:
         offs = _offsets(rows, keys)
-        numbered = rows.join(offs, [*keys, "_slice"]).withColumn(
+        numbered = _matching(rows, offs, [*keys, "_slice"], "inner").withColumn(
             name, F.col("_before") + F.col("_pos") - F.col("_first") + 1
         )
     return numbered.select(*df.columns, name)
@@ -64,6 +94,12 @@ def with_row_number(df: DataFrame, keys: Sequence[str], order: Sequence[str], na
 def with_lag(df: DataFrame, keys: Sequence[str], order: Sequence[str], columns: dict[str, str],
              slices: int | None = None) -> DataFrame:
     """Value of the previous row of the key, for each ``{column: new name}``; NULL on the first row."""
+    at = _in_order(keys, order)
+    return _by_size(df, keys, slices, lambda d: d.select("*", *[F.lag(c).over(at).alias(n) for c, n in columns.items()]),
+                    lambda d: _split_lag(d, keys, order, columns, slices))
+
+
+def _split_lag(df: DataFrame, keys: Sequence[str], order: Sequence[str], columns: dict[str, str], slices: int | None) -> DataFrame:
     rows = sliced(df, keys, order, slices)
     carried = F.struct(*[F.col(c).alias(n) for c, n in columns.items()])
     last = rows.groupBy(*keys, "_slice").agg(F.max_by(carried, "_pos").alias("_last"))
@@ -72,7 +108,7 @@ def with_lag(df: DataFrame, keys: Sequence[str], order: Sequence[str], columns:
     stepped = rows.withColumn("_prev", F.lag(carried).over(inside)).withColumn(
         "_head", F.row_number().over(inside) == 1
     )
-    joined = stepped.join(carry, [*keys, "_slice"])
+    joined = _matching(stepped, carry, [*keys, "_slice"], "inner")
     prev: Column = F.when(F.col("_head"), F.col("_carry")).otherwise(F.col("_prev"))
     return joined.withColumn("_prev", prev).select(*df.columns, *[F.col(f"_prev.{n}").alias(n) for n in columns.values()])
 
@@ -80,6 +116,12 @@ def with_lag(df: DataFrame, keys: Sequence[str], order: Sequence[str], columns:
 def with_lead(df: DataFrame, keys: Sequence[str], order: Sequence[str], columns: dict[str, str],
               slices: int | None = None) -> DataFrame:
     """Value of the next row of the key."""
+    at = _in_order(keys, order)
+    return _by_size(df, keys, slices, lambda d: d.select("*", *[F.lead(c).over(at).alias(n) for c, n in columns.items()]),
+                    lambda d: _split_lead(d, keys, order, columns, slices))
+
+
+def _split_lead(df: DataFrame, keys: Sequence[str], order: Sequence[str], columns: dict[str, str], slices: int | None) -> DataFrame:
     rows = sliced(df, keys, order, slices)
     carried = F.struct(*[F.col(c).alias(n) for c, n in columns.items()])
     first = rows.groupBy(*keys, "_slice").agg(F.min_by(carried, "_pos").alias("_first"))
@@ -87,7 +129,7 @@ def with_lead(df: DataFrame, keys: Sequence[str], order: Sequence[str], columns:
     inside = Window.partitionBy(*keys, "_slice").orderBy("_pos")
     tail = F.row_number().over(Window.partitionBy(*keys, "_slice").orderBy(F.desc("_pos"))) == 1
     stepped = rows.withColumn("_next", F.lead(carried).over(inside)).withColumn("_tail", tail)
-    joined = stepped.join(carry, [*keys, "_slice"])
+    joined = _matching(stepped, carry, [*keys, "_slice"], "inner")
     nxt: Column = F.when(F.col("_tail"), F.col("_carry")).otherwise(F.col("_next"))
     return joined.withColumn("_next", nxt).select(*df.columns, *[F.col(f"_next.{n}").alias(n) for n in columns.values()])
 

@@ -13,15 +13,16 @@ execution splits a hot join key.
 
 from __future__ import annotations
 
-from dataclasses import dataclass, replace
+from dataclasses import dataclass, field, replace
 from datetime import date
 from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.columns import zero_padded
 from ..session import cut_lineage
-from .tables import Months, count_rows, in_months, month_of, next_month, read_spread, read_table, small_side
+from .tables import Months, in_months, month_of, read_spread, read_table, small_side
 
 # Fixed values of the fixture.
 AS_OF = date(2000, 6, 1)
@@ -31,7 +32,6 @@ H1: Months = (Q1[0], Q2[1])
 FOCUS_LINE = "ECONOMY"
 FOCUS_REGION = "EUROPE"
 FOCUS_SEGMENT = "BUILDING"
-REGION_KEYS = (0, 1, 2, 3, 4)
 FX_BASE = (("EUR", 1.0), ("USD", 0.925), ("GBP", 1.155), ("CNY", 0.129))
 COST_SHARES = (
     ("raw_material_cost", "0.55"),
@@ -54,38 +54,27 @@ def line_cogs(revenue: Column) -> Column:
 
 
 def account_id(custkey: Column) -> Column:
-    """Twelve digits: a shorter ``lpad`` would cut larger keys and merge accounts."""
-    return F.concat(F.lit("ACC"), F.lpad(custkey.cast("string"), 12, "0"))
+    """At least twelve digits; a longer key keeps all of its own."""
+    return F.concat(F.lit("ACC"), zero_padded(custkey, 12))
 
 
 def currency_of(regionkey: Column) -> Column:
     return F.when(regionkey == 0, "GBP").when(regionkey == 1, "USD").when(regionkey == 2, "CNY").otherwise("EUR")
 
 
-_NATIONS: dict[tuple[str, str], list[tuple] | None] = {}
-MAX_NATIONS = 1000
-
-
-def _nations(star: Star, region: str | None) -> list[tuple] | None:
-    """Nation key, name, region key and region name; None when the table is longer than a literal should be."""
-    key = (star.spark.sparkContext.applicationId, star.root)
-    if key not in _NATIONS:
-        rows = star.geo().limit(MAX_NATIONS + 1).collect()
-        _NATIONS[key] = [tuple(r) for r in rows] if len(rows) <= MAX_NATIONS else None
-    rows = _NATIONS[key]
-    return rows if rows is None or region is None else [r for r in rows if r[3] == region]
-
-
 @dataclass(frozen=True)
 class Star:
     spark: SparkSession
     root: str
-    as_of: date = AS_OF
     pinned_finance: DataFrame | None = None
     pinned_plant: DataFrame | None = None
+    #: Tables and row counts of this star, that is of one query.
+    seen: dict = field(default_factory=dict, compare=False, repr=False)
 
     def table(self, name: str) -> DataFrame:
-        return read_table(self.spark, self.root, name)
+        if name not in self.seen:
+            self.seen[name] = read_table(self.spark, self.root, name)
+        return self.seen[name]
 
     def heavy(self, name: str) -> DataFrame:
         """A table whose rows are costly to process, spread over the cores when it is small."""
@@ -116,25 +105,9 @@ class Star:
         )
 
     def located(self, df: DataFrame, nationkey: str, region: str | None = None) -> DataFrame:
-        """Add ``industry`` (nation name), ``regionkey`` and ``region`` by nation key.
-
-        A region has a fixed handful of nations. Up to 1000 nations the keys become literals: a
-        region filter then is an IN list that reaches the Parquet scan, and no join is planned. A
-        longer nation table is joined.
-        """
-        rows = _nations(self, region)
-        if rows is None:
-            return df.join(self.geo(region), F.col(nationkey) == F.col("n_nationkey")).withColumnRenamed(
-                "n_name", "industry").drop("n_nationkey")
-
-        def pick(i: int) -> Column:
-            if not rows:
-                return F.lit(None)
-            return F.create_map(*[x for r in rows for x in (F.lit(r[0]), F.lit(r[i]))])[F.col(nationkey)]
-
-        kept = df.filter(F.col(nationkey).isin([r[0] for r in rows]))
-        return kept.withColumns({
-            "industry": pick(1).cast("string"), "regionkey": pick(2).cast("int"), "region": pick(3).cast("string")})
+        """Add ``industry`` (nation name), ``regionkey`` and ``region`` by nation key."""
+        geo = small_side(self.geo(region), self.rows("nation")).withColumnRenamed("n_name", "industry")
+        return df.join(geo, F.col(nationkey) == F.col("n_nationkey")).drop("n_nationkey")
 
     def order_region(self, region: str | None = None) -> DataFrame:
         cust = self.located(self.table("customer").select("c_custkey", "c_nationkey"), "c_nationkey", region)
@@ -144,12 +117,13 @@ class Star:
             "o_orderkey", "o_custkey", "regionkey", "region")
 
     def rows(self, name: str) -> int:
-        return count_rows(self.spark, self.root, name)
+        if ("rows", name) not in self.seen:
+            self.seen["rows", name] = self.table(name).count()
+        return self.seen["rows", name]
 
     def shipped(self, months: Months | None = None) -> DataFrame:
-        """Line items up to the current month, optionally one month range of them."""
-        lines = self.table("lineitem").filter(F.col("l_shipdate") < F.lit(next_month(self.as_of)))
-        return in_months(lines, "l_shipdate", months)
+        """Line items, optionally one month range of them."""
+        return in_months(self.table("lineitem"), "l_shipdate", months)
 
     def parts(self, product_line: str | None = None) -> DataFrame:
         part = self.table("part")
@@ -209,7 +183,7 @@ class Star:
     @staticmethod
     def _held(facts: DataFrame, months, product_line, region) -> DataFrame:
         if months is not None:
-            facts = facts.filter(F.col("month").between(F.lit(months[0]), F.lit(months[1])))
+            facts = in_months(facts, "month", months)
         if product_line is not None:
             facts = facts.filter(F.col("sku").startswith(f"{product_line}-"))
         return facts if region is None else facts.filter(F.col("region") == region)
@@ -231,12 +205,14 @@ class Star:
         reg = self.table("region")
         if region is not None:
             reg = reg.filter(F.col("r_name") == region)
-        keyed = grouped.withColumn("regionkey", F.explode(F.array(*[F.lit(k) for k in REGION_KEYS])))
-        return keyed.join(reg, F.col("regionkey") == F.col("r_regionkey")).select(
+        # every product is sold in every region of the table: the regions as one array, then a row for each
+        regions = reg.agg(F.collect_list(F.struct(F.col("r_regionkey").alias("regionkey"), F.col("r_name").alias("region")))).scalar()
+        keyed = grouped.withColumn("at", F.explode(regions)).select("*", "at.*")
+        return keyed.select(
             self.sku().alias("sku"),
             "product_name",
             "product_line",
-            F.col("r_name").alias("region"),
+            "region",
             currency_of(F.col("regionkey")).alias("currency"),
             F.col("list_price").cast("double").alias("list_price_eur"),
             F.round(F.col("floor_price") * F.lit(Decimal("0.60")), 2).cast("double").alias("standard_cost_eur"),
@@ -349,7 +325,7 @@ class Star:
             "region",
             F.col("c_mktsegment").alias("segment"),
             "industry",
-            F.concat(F.lit("REP"), F.lpad(F.col("c_nationkey").cast("string"), 2, "0")).alias("owner_rep"),
+            F.concat(F.lit("REP"), zero_padded(F.col("c_nationkey"), 2)).alias("owner_rep"),
         )
 
     def pipeline(self) -> DataFrame:

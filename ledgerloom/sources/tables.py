@@ -6,54 +6,33 @@ from datetime import date
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
 
 TABLES = (
     "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
     "documents", "embeddings", "pages", "benchmark", "labels", "conversations",
 )
 
-Months = tuple[date, date]
-
-
-_SCHEMAS: dict[tuple[str, str], StructType] = {}
+#: First and last month; None leaves that end open.
+Months = tuple[date | None, date | None]
 
 
 def read_table(spark: SparkSession, root: str, name: str) -> DataFrame:
-    """One input table. Its schema is read from the files once per application.
-
-    A plain ``read.parquet`` runs a job to find the schema every time it is called; a catalog table
-    would not, and these tables stand for catalog tables.
-    """
-    path = f"{root}/{name}.parquet"
-    key = (spark.sparkContext.applicationId, path)
-    if key not in _SCHEMAS:
-        _SCHEMAS[key] = spark.read.parquet(path).schema
-    return spark.read.schema(_SCHEMAS[key]).parquet(path)
+    """One input table, with the schema and files it has now."""
+    return spark.read.parquet(f"{root}/{name}.parquet")
 
 
-_COUNTS: dict[tuple[str, str], int] = {}
-BROADCAST_ROWS = 500_000
-
-
-def count_rows(spark: SparkSession, root: str, name: str) -> int:
-    """Rows of an input table, from the file footers, once per application."""
-    key = (spark.sparkContext.applicationId, f"{root}/{name}.parquet")
-    if key not in _COUNTS:
-        _COUNTS[key] = read_table(spark, root, name).count()
-    return _COUNTS[key]
+#: Bytes up to which a counted side is broadcast.
+BROADCAST_BYTES = 32 << 20
 
 
 def small_side(df: DataFrame, rows: int) -> DataFrame:
-    """Broadcast a narrow join side whose row count is known and small; otherwise leave it to a shuffle join.
+    """Broadcast a join side whose rows were counted if they take few bytes; otherwise leave it to a shuffle join.
 
     Without column statistics Spark takes the product of both inputs for the size of a join result,
     so it would never broadcast one, and might broadcast the fact side instead.
     """
-    return F.broadcast(df) if rows <= BROADCAST_ROWS else df
-
-
-_SPLITS: dict[tuple[str, str], int] = {}
+    width = sum(32 if f.dataType.typeName() in ("string", "binary") else 8 for f in df.schema.fields) + 16
+    return F.broadcast(df) if rows * width <= BROADCAST_BYTES else df
 
 
 def read_spread(spark: SparkSession, root: str, name: str) -> DataFrame:
@@ -62,11 +41,8 @@ def read_spread(spark: SparkSession, root: str, name: str) -> DataFrame:
     Files of a cluster-sized table have far more splits than cores; there this changes nothing.
     """
     df = read_table(spark, root, name)
-    key = (spark.sparkContext.applicationId, f"{root}/{name}.parquet")
-    if key not in _SPLITS:
-        _SPLITS[key] = df.rdd.getNumPartitions()
     cores = spark.sparkContext.defaultParallelism
-    return df.repartition(cores) if _SPLITS[key] < cores else df
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
 
 
 def month_of(col: Column | str) -> Column:
@@ -80,11 +56,13 @@ def next_month(d: date) -> date:
 
 
 def in_months(df: DataFrame, column: str, months: Months | None) -> DataFrame:
-    """Keep rows of the inclusive month range, written on the raw column.
+    """Keep rows of the inclusive month range, written on the raw column; None is an open end.
 
     A filter on the derived month cannot use Parquet min/max statistics; the raw range can.
     """
     if months is None:
         return df
     lo, hi = months
-    return df.filter((F.col(column) >= F.lit(lo)) & (F.col(column) < F.lit(next_month(hi))))
+    if lo is not None:
+        df = df.filter(F.col(column) >= F.lit(lo))
+    return df if hi is None else df.filter(F.col(column) < F.lit(next_month(hi)))

@@ -69,32 +69,21 @@ def lane_totals(lines: DataFrame) -> DataFrame:
 
 
 def stream_detect(totals: DataFrame, target: str, checkpoint: str, threshold: float) -> None:
-    """Raise one action per breached lane and month, once, however often the job runs.
+    """Store the running totals of the lane months that changed, batch by batch.
 
-    The stream carries the updated totals of the lane months that changed. Keys that an earlier
-    batch or run has raised are read back from the stored log and skipped.
+    A month is judged by ``current_breaches`` over the latest totals, never by what a batch has seen so
+    far. So it does not matter how the input is cut into batches, and a month that rises above the
+    threshold again is no breach. A batch that is tried again replaces its own folder.
     """
+    run_available(totals, _batch_writer(target, lambda b: b), checkpoint, mode="update")
 
-    def detect(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        pct = F.round(ratio(F.col("perfect"), F.col("orders")) * 100, 1)
-        found = batch.withColumn("otif_pct", pct).filter(F.col("otif_pct") < threshold).select(
-            F.concat_ws("|", "lane", F.col("month").cast("string")).alias("breach_key"),
-            "lane", "region", "month", "otif_pct", "orders", F.lit("proposed").alias("status"),
-        ).dropDuplicates(["breach_key"])
-        handled = stored_actions(spark, target, before=batch_id)
-        fresh = found if handled is None else found.join(handled.select("breach_key"), "breach_key", "left_anti")
-        fresh.write.mode("overwrite").parquet(f"{target}/batch_id={batch_id}")
-
-    run_available(totals, detect, checkpoint, mode="update")
-
-
-def stored_actions(spark: SparkSession, target: str, before: int | None = None) -> DataFrame | None:
-    """The action log written so far, without the batch that is being retried; None before the first batch."""
-    jvm = spark.sparkContext._jvm
-    path = jvm.org.apache.hadoop.fs.Path(target)
-    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if not fs.exists(path):
-        return None
+
+def current_breaches(spark: SparkSession, target: str, threshold: float) -> DataFrame:
+    """One proposed action per lane and month whose latest totals are below the threshold."""
     log = spark.read.option("basePath", target).parquet(target)
-    return log if before is None else log.filter(F.col("batch_id") < before)
+    row = F.struct("orders", "perfect")
+    latest = log.groupBy("lane", "region", "month").agg(F.max_by(row, "batch_id").alias("_t")).select("lane", "region", "month", "_t.*")
+    pct = F.round(ratio(F.col("perfect"), F.col("orders")) * 100, 1)
+    return latest.withColumn("otif_pct", pct).filter(F.col("otif_pct") < threshold).select(
+        F.concat_ws("|", "lane", F.col("month").cast("string")).alias("breach_key"),
+        "lane", "region", "month", "otif_pct", "orders", F.lit("proposed").alias("status"))
