@@ -7,6 +7,7 @@ from ..operators import joins as J
 from ..operators import quotes as Q
 from ..operators import reports as T
 from .core import clock
+from ..operators.ordered import with_row_number
 from .registry import Registry
 
 REG = Registry()
@@ -270,12 +271,18 @@ def _(star):
 
 
 @REG.add("session_log", sql="""
-    SELECT user_id, COUNT(*) AS turns, COUNT(DISTINCT event_type) AS kinds, strftime(MAX(ts), '%Y-%m-%d %H:%M:%S.%f') AS last_ts FROM events GROUP BY 1""")
+    SELECT 'user' || user_id AS session_id, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS turn,
+           event_type AS question, CASE WHEN value > 50 THEN 'FINANCE,SCM' ELSE 'FINANCE' END AS routed,
+           json_extract_string(props, '$.k') AS answer, strftime(ts, '%Y-%m-%d %H:%M:%S.%f') AS at FROM events""")
 def _(star):
-    log = star.table("events").select("event_id", "user_id", "event_type", F.col("ts").cast("timestamp").alias("ts"))
-    early, late = log.filter(F.col("event_id") % 2 == 0), log.filter(F.col("event_id") % 2 != 0)
-    return early.unionByName(late).groupBy("user_id").agg(
-        F.count(F.lit(1)).alias("turns"), F.countDistinct("event_type").alias("kinds"), clock(F.max("ts")).alias("last_ts"))
+    """Turns appended by two writers, numbered within their session."""
+    turns = star.table("events").select(
+        "event_id", F.concat(F.lit("user"), F.col("user_id").cast("string")).alias("session_id"), F.col("event_type").alias("question"),
+        F.when(F.col("value") > 50, "FINANCE,SCM").otherwise("FINANCE").alias("routed"), F.get_json_object("props", "$.k").alias("answer"),
+        F.col("ts").cast("timestamp").alias("ts"))
+    log = turns.filter(F.col("event_id") % 2 == 0).unionByName(turns.filter(F.col("event_id") % 2 != 0))
+    return with_row_number(log, ["session_id"], ["ts", "event_id"], "turn").select(
+        "session_id", F.col("turn").cast("bigint").alias("turn"), "question", "routed", "answer", clock(F.col("ts")).alias("at"))
 
 
 @REG.add("feedback", sql="""

@@ -49,9 +49,9 @@ def _(star):
 
 @REG.add("src_binary")
 def _(star):
+    # path and length only: the content column is not read
     files = IO.read_files(star.spark, star.root, "binaryFile", "*.parquet")
-    return files.select(F.regexp_extract("path", r"([^/]+)\.parquet$", 1).alias("table_name"), "length",
-                        F.length("content").alias("content_bytes"))
+    return files.select(F.regexp_extract("path", r"([^/]+)\.parquet$", 1).alias("table_name"), "length")
 
 
 # Price per thousand tokens of each served route.
@@ -86,10 +86,9 @@ def _(star):
     return IO.row_counts(loaded)
 
 
-@REG.add("list_tables", sql=" UNION ALL ".join(f"SELECT '{t}' AS table_name, COUNT(*) AS row_count FROM {t}" for t in ("region", "nation", "orders")))
+@REG.add("list_tables", sql=" UNION ALL ".join(f"SELECT '{t}' AS table_name, COUNT(*) AS row_count FROM {t}" for t in TABLES))
 def _(star):
-    names = ("region", "nation", "orders")
-    IO.load_star(star.spark, {f"listed_{t}": (lambda t=t: star.table(t)) for t in names})
+    IO.load_star(star.spark, {f"listed_{t}": (lambda t=t: star.table(t)) for t in TABLES})
     found = [n for n in IO.list_tables(star.spark) if n.startswith("listed_")]
     return IO.row_counts({n.removeprefix("listed_"): star.spark.table(n) for n in found})
 

@@ -102,9 +102,16 @@ def _(star):
 PII_FIELDS = {"email": f"({C.EMAIL_PATTERN})", "phone": f"({C.PHONE_PATTERN})", "address": r"\b([0-9]{1,3}\.[0-9]{1,3}\.[0-9]{1,3}\.[0-9]{1,3})\b"}
 
 
-@REG.add("doc_extract_contacts", sql=f"SELECT doc_id, {_rx(PII_FIELDS)} FROM documents")
+def _all_hits(pattern: str) -> str:
+    return f"NULLIF(array_to_string(regexp_extract_all(text, '{pattern}', 1), ' '), '')"
+
+
+@REG.add("doc_extract_contacts", sql="SELECT doc_id, " + ", ".join(f"{_all_hits(p)} AS {n}" for n, p in PII_FIELDS.items()) + " FROM documents")
 def _(star):
-    return X.doc_extract(star.heavy("documents"), PII_FIELDS).select("doc_id", "fields.*")
+    def hits(pattern: str):
+        return F.nullif(F.array_join(F.regexp_extract_all("text", F.lit(pattern), F.lit(1)), " "), F.lit(""))
+
+    return star.heavy("documents").select("doc_id", *[hits(p).alias(n) for n, p in PII_FIELDS.items()])
 
 
 @REG.add("fuse_struct_unstruct", "contract_docs", """

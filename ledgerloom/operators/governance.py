@@ -98,8 +98,9 @@ def chargeback_group(calls: DataFrame, group: str = "user_group") -> DataFrame:
     )
 
 
-def chargeback_model(calls: DataFrame, model: str = "served_model") -> DataFrame:
-    return calls.groupBy(model).agg(*_usage())
+def chargeback_model(calls: DataFrame, keys: Sequence[str] = ("served_model", "model")) -> DataFrame:
+    """Usage of each route and the model behind it."""
+    return calls.groupBy(*keys).agg(*_usage())
 
 
 def budget_overage(spend: DataFrame, budgets: DataFrame, keys: Sequence[str], tolerance_pct: float = 10.0) -> DataFrame:
