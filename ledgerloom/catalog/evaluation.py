@@ -44,12 +44,17 @@ def _(star):
     return X.route_domains(star.table("events").select(F.col("event_id").alias("question_id"), q.alias("question")), DOMAIN_WORDS)
 
 
-@REG.add("leg_trace", "margin_actuals otif churn_signals", """
-    SELECT 'FINANCE' AS domain, 'margin_actuals' AS query, COUNT(*) AS rows_returned FROM margin_actuals
-    UNION ALL SELECT 'SCM', 'otif', COUNT(*) FROM otif UNION ALL SELECT 'COMMERCIAL', 'churn_signals', COUNT(*) FROM churn_signals""")
+LEGS = {"FINANCE": "margin_actuals", "SCM": "otif", "COMMERCIAL": "churn_signals", "QUOTE": "no_such_view"}
+
+
+@REG.add("leg_trace", "margin_actuals otif churn_signals", " UNION ALL ".join(
+    f"SELECT '{d}' AS domain, 'SELECT * FROM {v}' AS query, COUNT(*) AS rows_returned, NULL::VARCHAR AS error FROM {v}" for d, v in list(LEGS.items())[:3])
+    + " UNION ALL SELECT 'QUOTE', 'SELECT * FROM no_such_view', NULL, 'TABLE_OR_VIEW_NOT_FOUND'")
 def _(star):
-    return X.leg_trace({"FINANCE": ("margin_actuals", star.margin_actuals()), "SCM": ("otif", star.otif()),
-                        "COMMERCIAL": ("churn_signals", star.churn_signals())})
+    def leg(view):
+        return lambda: getattr(star, view)() if hasattr(star, view) else star.spark.table(view)
+
+    return X.leg_trace({d: (f"SELECT * FROM {v}", leg(v)) for d, v in LEGS.items()})
 
 
 ANSWERS_SQL = """asked AS (

@@ -28,8 +28,9 @@ def breaches_below(otif: DataFrame, threshold: float) -> DataFrame:
 def detect_breach(otif: DataFrame, threshold: float) -> DataFrame:
     """Breaches of the latest month that has any breach (of any lane)."""
     found = breaches_below(otif, threshold)
-    latest = found.agg(F.max("month")).scalar()
-    return found.filter(F.col("month") == latest)
+    # the lanes of a month as one list, of which the aggregate keeps the latest: one pass over the view
+    months = found.groupBy("month").agg(F.collect_list(F.struct(*found.columns)).alias("rows"))
+    return months.agg(F.max_by("rows", "month").alias("rows")).select(F.inline("rows"))
 
 
 def origin(lane: Column | str) -> Column:

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import ratio, sentence_count
@@ -30,13 +31,16 @@ def route_domains(questions: DataFrame, keywords: Mapping[str, Sequence[str]], t
     return rows.select(key, F.inline(F.when(F.size(hit) > 0, hit).otherwise(F.col("_scored"))))
 
 
-def leg_trace(legs: Mapping[str, tuple[str, DataFrame]]) -> DataFrame:
-    """Rows returned by each leg of a routed question, with the query that produced them."""
+def leg_trace(legs: Mapping[str, tuple[str, Callable[[], DataFrame]]]) -> DataFrame:
+    """Rows returned by each leg of a routed question, with the query text and, if it cannot be planned, the error."""
     out = None
-    for domain, (query, df) in legs.items():
-        one = df.agg(F.count(F.lit(1)).alias("rows_returned")).select(
-            F.lit(domain).alias("domain"), F.lit(query).alias("query"), "rows_returned"
-        )
+    for domain, (query, build) in legs.items():
+        head = F.lit(domain).alias("domain"), F.lit(query).alias("query")
+        try:
+            one = build().agg(F.count(F.lit(1)).alias("rows_returned")).select(*head, "rows_returned", F.lit(None).cast("string").alias("error"))
+        except AnalysisException as e:
+            one = SparkSession.active().range(1).select(
+                *head, F.lit(None).cast("bigint").alias("rows_returned"), F.lit(e.getCondition()).alias("error"))
         out = one if out is None else out.unionByName(one)
     return out
 
