@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .decontam import overlap_report
 from .hnsw import nearest
+from .licences import licence_report
 from .neardup import near_duplicates
 from .packing import pack
 from .pii import pii_report
@@ -40,6 +41,10 @@ def op6_decontam(spark: SparkSession, root: str) -> DataFrame:
     return overlap_report(read(spark, root, "documents"), read(spark, root, "benchmark"))
 
 
+def op7_licences(spark: SparkSession, root: str) -> DataFrame:
+    return licence_report(read(spark, root, "documents")).drop("n_candidates")
+
+
 def op8_toxicity(spark: SparkSession, root: str) -> DataFrame:
     return score_toxicity(read(spark, root, "documents"), read(spark, root, "labels"))
 
@@ -59,6 +64,7 @@ QUERIES = {
     "op4_neardup": op4_neardup,
     "op5_pii": op5_pii,
     "op6_decontam": op6_decontam,
+    "op7_licences": op7_licences,
     "op8_toxicity": op8_toxicity,
     "op9_quality": op9_quality,
     "op10_shards": op10_shards,
@@ -68,6 +74,20 @@ QUERIES = {
 _WORDS = r"regexp_extract_all(translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
 
 ORACLES = {
+    # a line that is a notice word for word, apart from case and signs
+    "op7_licences": """
+WITH notices(name, said) AS (VALUES
+    ('MIT', 'released under the mit license'), ('Apache-2.0', 'licensed under the apache license version 2.0'),
+    ('GPL-3.0', 'this work is licensed under the gnu general public license version 3'), ('CC-BY-NC-4.0', 'licensed under cc by-nc 4.0')
+), lines AS (
+    SELECT doc_id, array_to_string(regexp_extract_all(lower(unnest(string_split(coalesce(text, ''), chr(10)))), '[\\p{L}\\p{N}]+(?:[.-][\\p{L}\\p{N}]+)*'), ' ') AS said
+    FROM documents
+), found AS (
+    SELECT doc_id, count(DISTINCT name) AS n, string_agg(DISTINCT name, ',' ORDER BY name) AS names
+    FROM lines JOIN notices ON contains(' ' || lines.said || ' ', ' ' || notices.said || ' ') GROUP BY doc_id
+)
+SELECT doc_id, coalesce(n, 0) AS n_licences, coalesce(names, '') AS licences FROM documents LEFT JOIN found USING (doc_id)
+""",
     "op4_neardup": r"""
 WITH RECURSIVE text_words AS (
     SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
