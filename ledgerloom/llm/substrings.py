@@ -19,7 +19,9 @@ _LOW = U((1 << 24) - 1)
 NO_ID = -(1 << 63)
 #: Rows between the steps: two bucket identifiers, the document, and ``start << 32 | version << 8 | windows``.
 RUN = "a bigint, r bigint, doc bigint, pos bigint"
-SPAN = "doc bigint, version int, start int, stop int"
+SPAN = "doc bigint, version int, start int, stop int, bucket bigint"
+#: A run in question with its bytes.
+HELD = "bucket bigint, doc bigint, pos bigint, bytes binary"
 
 
 def _least(x: np.ndarray, width: int) -> np.ndarray:
@@ -128,9 +130,10 @@ def _settled(length: int, group_by_bucket: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         carry = None  # first row of the bucket, and first row of its last run if that is another
 
-        def spans(doc, pos, stop) -> pa.RecordBatch:
+        def spans(doc, pos, stop, bucket=None) -> pa.RecordBatch:
             return pa.record_batch([
-                doc, ((pos >> 8) & int(_LOW)).astype(np.int32), (pos >> 32).astype(np.int32), stop.astype(np.int32)], ["doc", "version", "start", "stop"])
+                doc, ((pos >> 8) & int(_LOW)).astype(np.int32), (pos >> 32).astype(np.int32), stop.astype(np.int32),
+                np.zeros(len(doc), np.int64) if bucket is None else bucket], ["doc", "version", "start", "stop", "bucket"])
 
         for batch in batches:
             rows = np.stack([batch.column(i).to_numpy() for i in range(4)]) if batch.num_rows else np.zeros((4, 0), np.int64)
@@ -166,47 +169,60 @@ def _settled(length: int, group_by_bucket: bool):
                 yield spans(doc[out], pos[out], (pos[out] >> 32) + (pos[out] & 255) + length - 1)
             out = asked & fresh
             if out.any():
-                yield spans(doc[out], pos[out], -(pos[out] & 255))
+                yield spans(doc[out], pos[out], -(pos[out] & 255), a[out])
             carry = rows[:, [starts[0]]] if len(starts) == 1 else rows[:, [starts[0], starts[-1]]]
 
     return run
 
 
+def _questioned(length: int):
+    """The runs in question of each text, with their bytes: a few per edit of a copied text."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, 2):
+            texts = Texts(batch)
+            lists = batch.column(3)
+            row = np.repeat(np.arange(len(lists)), np.diff(lists.offsets.to_numpy()))
+            start, stop, bucket = (lists.flatten().field(i).to_numpy().astype(np.int64) for i in range(3))
+            asked = stop < 0
+            row, start, n, bucket = row[asked], start[asked], -stop[asked], bucket[asked]
+            raw = texts.data.tobytes()
+            place = texts.limits[row] + start
+            held = [raw[a:b] for a, b in zip(place.tolist(), (place + n + length - 1).tolist())]
+            pos = (start << 32) | (texts.version[row].astype(np.int64) << 8) | n
+            yield pa.record_batch([bucket, texts.doc[row], pos, pa.array(held, pa.binary())], ["bucket", "doc", "pos", "bytes"])
+
+    return run
+
+
 def _windows(length: int, depth: int):
-    """The windows in question, bucketed by what they hold at later offsets.
+    """The windows of the runs in question, bucketed by what they hold at later offsets.
 
     Bucket identifiers start as hashes of ``depth`` bytes. Each round refines a bucket by the identifier at the offset it
     already covers, so the identifiers found in one round are the pointers of the next and the depth doubles; the last
-    two identifiers, half a window apart, are the bucket and its refinement.
+    two identifiers, half a window apart, are the bucket and its refinement. Equal windows come from one bucket and so
+    are in one partition already: sorting them needs no further shuffle.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, 2):
-            texts = Texts(batch)
-            lists = batch.column(3)
-            row = np.repeat(np.arange(len(lists)), np.diff(lists.offsets.to_numpy()))
-            flat = lists.flatten()
-            start, stop = (flat.field(i).to_numpy().astype(np.int64) for i in (0, 1))
-            row, start, n = row[stop < 0], start[stop < 0], -stop[stop < 0]
-            place = np.repeat(texts.limits[row] + start, n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-            if not len(place):
-                continue
-            place = np.unique(place)
-            found = []
+        for batch in slices(batches, 3):
+            data, limits = text_bytes(batch.column(3))
+            doc, pos = batch.column(1).to_numpy(), batch.column(2).to_numpy()
             at = 0
-            while at < len(place):
-                base = place[at]
-                to = int(np.searchsorted(place, base + CHUNK // 2, "left"))
-                mine = place[at:to] - base
-                part = texts.data[base: place[to - 1] + length]
-                pointer, reach = Prefix(part).every(depth), depth
+            while at < len(doc):
+                to = max(at + 1, int(np.searchsorted(limits, limits[at] + CHUNK, "right")) - 1)
+                n = pos[at:to] & 255
+                row = np.repeat(np.arange(at, to), n)
+                step = np.arange(len(row)) - np.repeat(np.cumsum(n) - n, n)
+                pointer, reach = Prefix(data[limits[at]: limits[to]]).every(depth), depth
                 while 2 * reach < length:
                     pointer = mix(pointer[:-reach] * U(0xD6E8FEB86659FD93) + pointer[reach:])
                     reach *= 2
-                found.append((pointer[mine], pointer[mine + length - reach]))
+                place = limits[row] - limits[at] + step
+                yield pa.record_batch([
+                    pointer[place].view(np.int64), pointer[place + length - reach].view(np.int64), doc[row],
+                    (((pos[row] >> 32) + step) << 32) | (pos[row] & (int(_LOW) << 8)) | 1], ["a", "r", "doc", "pos"])
                 at = to
-            a, r = (np.concatenate(c) for c in zip(*found))
-            yield _packed(texts, place, np.ones(len(place), np.int64), a, r, length)
 
     return run
 
@@ -246,8 +262,8 @@ def remove_repeats(docs: DataFrame, length: int = 100, depth: int = 25, id_col:
     ``kept`` (the bytes left). Texts are UTF-8 bytes; matches never cross documents.
 
     Windows of ``length`` bytes fall into buckets by a gram of ``depth`` bytes (see ``_runs``), one row per run of windows.
-    Equal runs settle whole stretches at once. Buckets with different runs are refined window by window by the bucket
-    identifiers at later offsets (see ``_windows``). ``length`` must be ``depth`` doubled some times. Identifiers are
+    Equal runs settle whole stretches at once. Buckets with different runs are gathered with their bytes and refined window
+    by window by the bucket identifiers at later offsets (see ``_windows``). ``length`` must be ``depth`` doubled some times. Identifiers are
     64-bit hashes, two per comparison. Every task first settles repeats within its own batch, so a string that
     many documents hold reaches the shuffle once per batch; the sorted rows are then read with two rows of state.
 
@@ -260,8 +276,8 @@ def remove_repeats(docs: DataFrame, length: int = 100, depth: int = 25, id_col:
     rows = docs.select(doc.alias("doc"), F.xxhash64(text).alias("key"), text.alias("text"))
     sort = ("a", "r", "doc", "pos")
     runs = rows.mapInArrow(_runs(length, depth), RUN).repartition("a").sortWithinPartitions(*sort)
-    listed = F.collect_list(F.struct("start", "stop")).alias("spans")
-    first = cut_lineage(runs.mapInArrow(_settled(length, True), SPAN).groupBy("doc", "version").agg(listed))
+    settled = runs.mapInArrow(_settled(length, True), SPAN)
+    first = cut_lineage(settled.groupBy("doc", "version").agg(F.collect_list(F.struct("start", "stop", "bucket")).alias("spans")))
 
     version = F.col("key").bitwiseAND(int(_LOW)).cast("int")
     tag: Column = F.xxhash64("doc", "version")
@@ -279,9 +295,11 @@ def remove_repeats(docs: DataFrame, length: int = 100, depth: int = 25, id_col:
 
     open_docs = first.filter(F.exists("spans", lambda s: s["stop"] < 0))
     held = chosen(open_docs, True).join(open_docs, ["doc", "version"]).select("doc", "key", "text", "spans")
-    windows = held.mapInArrow(_windows(length, depth), RUN).repartition("a", "r").sortWithinPartitions(*sort)
-    second = windows.mapInArrow(_settled(length, False), SPAN).groupBy("doc", "version").agg(listed)
-    closed = first.select("doc", "version", F.filter("spans", lambda s: s["stop"] > 0).alias("spans")).filter("size(spans) > 0")
+    windows = held.mapInArrow(_questioned(length), HELD).repartition("bucket").mapInArrow(_windows(length, depth), RUN)
+    second = windows.sortWithinPartitions(*sort).mapInArrow(_settled(length, False), SPAN).groupBy("doc", "version").agg(
+        F.collect_list(F.struct("start", "stop")).alias("spans"))
+    closed = first.select("doc", "version", F.transform(F.filter("spans", lambda s: s["stop"] > 0), lambda s: F.struct(
+        s["start"].alias("start"), s["stop"].alias("stop"))).alias("spans")).filter("size(spans) > 0")
     spans = cut_lineage(closed.unionByName(second).groupBy("doc", "version").agg(F.flatten(F.collect_list("spans")).alias("spans")))
 
     none = F.lit(None).cast(spans.schema["spans"].dataType)
