@@ -185,9 +185,22 @@ def _(star):
     return star.heavy("documents").select("doc_id", C.mask_text("text").alias("masked"))
 
 
-@REG.add("text_summarize", sql=r"SELECT doc_id, array_to_string(list_slice(string_split_regex(text, '\s+'), 1, 20), ' ') AS summary FROM documents")
-def _(star):
-    return star.heavy("documents").select("doc_id", C.lead_words("text", 20).alias("summary"))
+@REG.add("text_summarize", sql=r"""
+    WITH sentences AS (
+        SELECT doc_id, n, [w FOR w IN regexp_split_to_array(s, '\s+') IF w <> ''] AS words
+        FROM (SELECT doc_id, unnest(parts) AS s, unnest(range(len(parts))) AS n FROM (SELECT doc_id, regexp_split_to_array(text, '[.!?]+') AS parts FROM documents))
+    ), terms AS (
+        SELECT doc_id, n, unnest(words) AS w FROM sentences WHERE len(words) > 0
+    ), weights AS (
+        SELECT doc_id, w, COUNT(*) AS weight FROM terms WHERE length(w) > 3 GROUP BY ALL
+    ), scored AS (
+        SELECT doc_id, n, COALESCE(SUM(weight), 0) AS score, COUNT(*) AS size FROM terms LEFT JOIN weights USING (doc_id, w) GROUP BY ALL
+    ), best AS (
+        SELECT doc_id, n FROM scored QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY score * 1000 // greatest(size, 5) DESC, n) = 1
+    )
+    SELECT d.doc_id, array_to_string(words[1:20], ' ') AS summary FROM documents d LEFT JOIN best USING (doc_id) LEFT JOIN sentences USING (doc_id, n)""")
+def _(star):
+    return X.text_summarize(star.heavy("documents"), 20)
 
 
 @REG.add("ai_map", sql="""

@@ -120,11 +120,6 @@ def mask_text(text: Column | str, email: str = "[EMAIL]", phone: str = "[PHONE]"
     return F.regexp_replace(F.regexp_replace(_c(text), EMAIL_PATTERN, email), PHONE_PATTERN, phone)
 
 
-def lead_words(text: Column | str, n: int) -> Column:
-    """Extractive summary: the first ``n`` words."""
-    return F.array_join(F.slice(F.split(_c(text), r"\s+"), 1, n), " ")
-
-
 def sentence_count(text: Column | str) -> Column:
     """Sentences that hold at least one character other than spaces and closing marks."""
     parts = F.split(_c(text), r"[.!?]+")

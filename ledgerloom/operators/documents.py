@@ -190,3 +190,21 @@ def template_match(tickets: DataFrame, templates: DataFrame, key: str = "categor
     return tickets.join(templates.select(key, "template"), key, "left").withColumn(
         "template", F.coalesce("template", F.lit("no matching template"))
     )
+
+
+def text_summarize(docs: DataFrame, words: int, key: str = "doc_id", text: str = "text", least: int = 5) -> DataFrame:
+    """The most telling sentence of the whole text, at most ``words`` words of it.
+
+    Words of four letters or more weigh as often as they occur in the text. A sentence scores the weights of its words per
+    word, short ones as if they had ``least``; of equal scores the first. A text without words has no summary.
+    """
+    parts = docs.select(key, F.posexplode(F.split(text, r"[.!?]+")).alias("_n", "_s"))
+    sentences = parts.select(key, "_n", F.filter(F.split("_s", r"\s+"), lambda w: w != "").alias("_words")).filter(F.size("_words") > 0)
+    terms = sentences.select(key, "_n", F.explode("_words").alias("_w"))
+    weights = terms.filter(F.length("_w") > 3).groupBy(key, "_w").agg(F.count(F.lit(1)).alias("_weight"))
+    scored = terms.join(weights, [key, "_w"], "left").groupBy(key, "_n").agg(
+        F.coalesce(F.sum("_weight"), F.lit(0)).alias("_sum"), F.count(F.lit(1)).alias("_size"))
+    score = F.expr(f"_sum * 1000 div greatest(_size, {least})")
+    best = scored.groupBy(key).agg(F.max_by("_n", F.struct(score.alias("s"), (-F.col("_n")).alias("n"))).alias("_n"))
+    said = sentences.join(best, [key, "_n"]).select(key, F.array_join(F.slice("_words", 1, words), " ").alias("summary"))
+    return docs.select(key).join(said, key, "left")
