@@ -73,6 +73,24 @@ QUERIES = {
 #: Words of a text as the contract of operator 6 takes them.
 _WORDS = r"regexp_extract_all(translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
 
+
+
+def _crc_table() -> list[int]:
+    """The remainders of all bytes for the reflected polynomial of crc32."""
+    out = []
+    for c in range(256):
+        for _ in range(8):
+            c = (c >> 1) ^ (0xEDB88320 if c & 1 else 0)
+        out.append(c)
+    return out
+
+
+#: crc32 of a text's UTF-8 bytes, byte by byte from their hexadecimal form.
+_CRC32 = (
+    "xor(list_reduce([CAST('0x' || hex(encode({0}))[2 * i + 1:2 * i + 2] AS BIGINT) FOR i IN range(strlen({0}))], "
+    f"lambda c, b: xor(c >> 8, {_crc_table()}[CAST(xor(c & 255, b) AS INTEGER) + 1]), 4294967295), 4294967295)"
+)
+
 ORACLES = {
     # a line that is a notice word for word, apart from case and signs
     "op7_licences": """
@@ -135,7 +153,7 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, c
 FROM text_words LEFT JOIN covered USING (doc_id) LEFT JOIN listed USING (doc_id)
 """,
     # sizes, order and running sums in one pass over the whole table
-    "op10_shards": """
+    "op10_shards": f"""
 WITH sized AS (
     SELECT doc_id, CAST(strlen(coalesce(text, '')) + 16 AS BIGINT) AS size, coalesce(text, '') AS body FROM documents
 ), summed AS (
@@ -146,7 +164,7 @@ WITH sized AS (
 ), dealt AS (
     SELECT doc_id, size, body, CAST(least(39, (2 * before + size) * 40 // (2 * total)) AS INTEGER) AS shard FROM summed
 )
-SELECT doc_id, size, crc32_of(body) AS text_crc32, 'bytes' AS law, shard,
+SELECT doc_id, size, {_CRC32.format("body")} AS text_crc32, 'bytes' AS law, shard,
        row_number() OVER (PARTITION BY shard ORDER BY doc_id) - 1 AS slot, CAST(NULL AS INTEGER) AS grown_shard
 FROM dealt
 """,
