@@ -92,14 +92,14 @@ def mine(training: DataFrame, each: int = VOTERS, least: int = 3, precision: flo
     not reach among all the terms that were counted. The ``each`` best of every sort stand for election by gain; one that
     starts another elected one, or that an elected one starts, says the same and is left out.
     """
-    total = training.agg(F.count("*").cast("double").alias("all"), F.coalesce(F.sum("y"), F.lit(0)).cast("double").alias("bad"))
+    texts, bad = training.agg(F.count("*"), F.coalesce(F.sum("y"), F.lit(0))).first()
     counts = cut_lineage(training.select("text", "y").mapInArrow(_count_terms, "stem int, code bigint, n bigint, toxic bigint, term binary").groupBy(
         "stem", "code").agg(F.sum("n").alias("n"), F.sum("toxic").alias("toxic"), F.max("term").alias("term")))
     chance = 0.6 * float(np.log(max(2, counts.count())))
     share = (F.col("toxic") + 0.1) / (F.col("n") + 0.2)
-    prior = (F.col("bad") + 0.1) / (F.col("all") + 0.2)
+    prior = F.lit((bad + 0.1) / (texts + 0.2))
     gain = F.col("toxic") * F.log(share / prior) + (F.col("n") - F.col("toxic")) * F.log((1 - share) / (1 - prior))
-    ranked = counts.crossJoin(F.broadcast(total)).filter((F.col("toxic") >= least) & (share >= precision) & (share > prior)).select(
+    ranked = counts.filter((F.col("toxic") >= least) & (share >= precision) & (share > prior)).select(
         "stem", "code", "term", gain.alias("gain")).filter(F.col("gain") > chance)
     found = []
     for stem in STEMS:
