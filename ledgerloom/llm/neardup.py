@@ -186,7 +186,8 @@ def near_duplicates(
     roots = components(links)
     named = classes.select("cid", F.col("rep.doc_id").alias("doc_id")).join(roots.withColumnRenamed("node", "cid"), "cid", "left").select(
         "cid", "doc_id", F.coalesce("root", "cid").alias("root"))
-    smallest = named.groupBy("root").agg(F.min("doc_id").alias("component_id"))
+    # stored, so that the join back on the root of a very large group is a plain one, which adaptive execution splits
+    smallest = cut_lineage(named.groupBy("root").agg(F.min("doc_id").alias("component_id")))
     owner = named.join(smallest, "root").select("cid", "component_id")
     group = F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id"))
     return sketched.select("doc_id", "text_key", "n", F.when(F.col("n") > 0, F.col("cid")).alias("cid")).join(owner, "cid", "left").select(
