@@ -179,3 +179,23 @@ def test_shards_are_contiguous_and_even(spark):
     total = sum(r.size for r in got)
     assert all(abs(sum(r.size for r in got if r.shard == s) - total / 7) <= max(r.size for r in got) for s in range(7))
     assert byte_shards(frame(spark, []), shards=7).count() == 0
+
+
+def test_licence_notices_are_confirmed_word_by_word(spark):
+    from ledgerloom.llm.licences import NOTICES, find_licences, licence_report
+
+    rows = [(k, f"some prose {k}\n{t}\nmore prose") for k, t in enumerate(NOTICES.values())] + [
+        (50, "foo bar. Licensed under CC BY-NC 4.0. Something. Released under the MIT License. more"), (51, "Licensed under the Apache License, Version 2.1."),
+        (52, "licensed by someone"), (53, None), (54, ""), (55, "x " * 20_000 + "RELEASED under the mit license" + " y" * 20_000), (None, "Released under the MIT License."),
+        (56, "Released under the MIT License."), (56, "Released under the MIT License."),
+    ]
+    got = licence_report(frame(spark, rows)).collect()
+    assert len(got) == len(rows)
+    by_id = {r.doc_id: r.licences for r in got}
+    assert [by_id[k] for k in range(len(NOTICES))] == list(NOTICES)
+    assert (by_id[50], by_id[51], by_id[52], by_id[53], by_id[54], by_id[55], by_id[None], by_id[56]) == ("CC-BY-NC-4.0,MIT", "", "", "", "", "MIT", "MIT", "MIT")
+    span = find_licences(frame(spark, rows[:1])).first().found[0]
+    assert rows[0][1][span.start: span.stop] == NOTICES["MIT"] and span.missing == [] and span.reduction > 0.5
+    loose = find_licences(frame(spark, [(1, "Licensed under the Apache License, Version 2.1.")]), tolerance=0.5).first().found[0]
+    assert (loose.licence, loose.missing, loose.extra) == ("Apache-2.0", ["2.0"], [])
+    assert licence_report(frame(spark, [])).count() == 0
