@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator, Mapping
+from collections.abc import Iterator, Mapping, Sequence
 from difflib import SequenceMatcher
 
 import pyarrow as pa
@@ -29,8 +29,84 @@ NOTICES = {
     "CC0-1.0": "Dedicated to the public domain under CC0 1.0.",
     "Unlicense": "This is free and unencumbered software released into the public domain.",
 }
+_MIT = """Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation
+files (the "Software"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify,
+merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to
+do so, subject to the following conditions: The above copyright notice and this permission notice shall be included in all copies or
+substantial portions of the Software."""
+_ISC = """Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted,
+provided that the above copyright notice and this permission notice appear in all copies."""
+_BSD = """Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following
+conditions are met: 1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following
+disclaimer. 2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following
+disclaimer in the documentation and/or other materials provided with the distribution."""
+_BSD_NAMES = """Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products
+derived from this software without specific prior written permission."""
+_BSD_END = "This software is provided by the copyright holders and contributors \"as is\""
+_APACHE = """Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in compliance with the
+License. You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0"""
+_GNU = """This program is free software{}: you can redistribute it and/or modify it under the terms of the GNU {}General Public License as
+published by the Free Software Foundation, either version {} of the License, or (at your option) any later version."""
+
+
+def _gnu(kind: str, short: str, version: str, day: str) -> tuple[str, ...]:
+    name = f"GNU {kind}General Public License"
+    return (
+        _GNU.format("", kind, version), f"{name}, version {version}", f"{name} v{version}", f"{name} Version {version}, {day}",
+        f"under the terms of the {name} as published by the Free Software Foundation, version {version}",
+        f"under the terms of version {version} of the {name}",
+        f"{short} version {version} license", f"{short}v{version} license", f"licensed under {short}-{version}", f"licensed under {short}v{version}",
+    )
+
+
+def _cc(short: str, terms: str) -> tuple[str, ...]:
+    return (
+        f"licensed under a Creative Commons {terms} 4.0 International License", f"Creative Commons {terms} 4.0", f"CC {short} 4.0",
+        f"Creative Commons Attribution {short} 4.0", f"creativecommons.org/licenses/{short.lower()}/4.0",
+    )
+
+
+#: Further wordings, headers and grants of the same licences. A long licence is known by its title and its header.
+WORDINGS = {
+    "MIT": (_MIT, "MIT License", "Licensed under the MIT License", "Licensed under MIT", "The MIT License (MIT)", "Distributed under the terms of the MIT License",
+            "opensource.org/licenses/MIT"),
+    "ISC": (_ISC, "ISC License", "Licensed under the ISC License"),
+    "Apache-2.0": (_APACHE, "Apache License, Version 2.0", "Apache License 2.0", "Apache 2.0 License", "Licensed under Apache 2.0", "Apache License Version 2.0, January 2004",
+                   "Apache Software License 2.0", "apache.org/licenses/LICENSE-2.0"),
+    "BSD-2-Clause": (f"{_BSD} {_BSD_END}", "BSD 2-Clause License", "Simplified BSD License", "FreeBSD License"),
+    "BSD-3-Clause": (f"{_BSD} 3. {_BSD_NAMES} {_BSD_END}", "BSD 3-Clause License", "New BSD License", "Modified BSD License", "Revised BSD License", "BSD-style license"),
+    "GPL-2.0": _gnu("", "GPL", "2", "June 1991"),
+    "GPL-3.0": _gnu("", "GPL", "3", "29 June 2007"),
+    "LGPL-2.1": (*_gnu("Lesser ", "LGPL", "2.1", "February 1999"), _GNU.replace("program", "library").format("", "Lesser ", "2.1")),
+    "LGPL-3.0": (*_gnu("Lesser ", "LGPL", "3", "29 June 2007"), _GNU.replace("program", "library").format("", "Lesser ", "3")),
+    "AGPL-3.0": _gnu("Affero ", "AGPL", "3", "19 November 2007"),
+    "MPL-2.0": ("Mozilla Public License, version 2.0", "Mozilla Public License 2.0", "Licensed under MPL 2.0", "Mozilla Public License Version 2.0",
+                "If a copy of the MPL was not distributed with this file, You can obtain one at http://mozilla.org/MPL/2.0/"),
+    "EPL-2.0": ("This program and the accompanying materials are made available under the terms of the Eclipse Public License 2.0", "Eclipse Public License 2.0",
+                "Eclipse Public License - v 2.0"),
+    "CC-BY-4.0": _cc("BY", "Attribution"),
+    "CC-BY-SA-4.0": _cc("BY-SA", "Attribution-ShareAlike"),
+    "CC-BY-NC-4.0": _cc("BY-NC", "Attribution-NonCommercial"),
+    "CC-BY-ND-4.0": _cc("BY-ND", "Attribution-NoDerivatives"),
+    "CC-BY-NC-SA-4.0": _cc("BY-NC-SA", "Attribution-NonCommercial-ShareAlike"),
+    "CC-BY-NC-ND-4.0": _cc("BY-NC-ND", "Attribution-NonCommercial-NoDerivatives"),
+    "CC0-1.0": ("CC0 1.0 Universal", "dedicated the work to the public domain by waiving all of his or her rights to the work worldwide under copyright law",
+                "Creative Commons Zero 1.0", "creativecommons.org/publicdomain/zero/1.0"),
+    "Unlicense": ("Anyone is free to copy, modify, publish, use, compile, sell, or distribute this software, either in source code form or as a compiled binary, for any purpose",
+                  "released under the Unlicense", "The Unlicense"),
+}
+#: Notices that grant nothing. They are found like the others and counted apart.
+RESERVED = {
+    "all-rights-reserved": ("All rights reserved.",),
+    "proprietary": ("proprietary and confidential", "Unauthorized copying of this file, via any medium, is strictly prohibited", "This software is proprietary",
+                    "may not be copied, reproduced or distributed without the prior written permission of the copyright owner", "proprietary license"),
+}
+TEMPLATES = {name: (*([NOTICES[name]] if name in NOTICES else []), *WORDINGS.get(name, ())) for name in [*NOTICES, *WORDINGS]}
+TEMPLATES = {name: (*said, f"SPDX-License-Identifier: {name}") for name, said in TEMPLATES.items()}
+TEMPLATES |= {name: (*TEMPLATES[name], *(f"SPDX-License-Identifier: {name}-{more}" for more in ("only", "or-later"))) for name in TEMPLATES if "GPL" in name}
+TEMPLATES |= RESERVED
 #: A text around one of these is a candidate.
-TRIGGERS = re.compile(r"licen[sc]e|public domain|copyright|all rights reserved", re.I)
+TRIGGERS = re.compile(r"licen[sc]e|public domain|copyright|all rights reserved|creative ?commons|\bcc[ -]by\b|\bcc0\b|free software|proprietary|unauthori[sz]ed copying", re.I)
 #: Characters of the same line kept on each side of a trigger.
 REACH = 200
 _WORD = re.compile(r"[^\W_]+(?:[.-][^\W_]+)*")
@@ -54,9 +130,11 @@ def candidate_blocks(text: str, reach: int = REACH) -> list[tuple[int, int]]:
 class Matcher:
     """Rank notices for a block by how much shorter it gets once a notice is the compressor's dictionary."""
 
-    def __init__(self, notices: Mapping[str, str], level: int = 3) -> None:
+    def __init__(self, notices: Mapping[str, str | Sequence[str]], level: int = 3) -> None:
         import zstandard as z
 
+        notices = {(name, k): t for name, said in notices.items() for k, t in enumerate([said] if isinstance(said, str) else said)}
+
         self.plain = z.ZstdCompressor(level=level)
         self.given = {}
         for name, notice in notices.items():
@@ -68,12 +146,12 @@ class Matcher:
     def split(text: str) -> list[str]:
         return [w.lower() for w in _WORD.findall(text)]
 
-    def ranked(self, block: str) -> list[tuple[float, str]]:
+    def ranked(self, block: str) -> list[tuple[float, tuple[str, int]]]:
         raw = block.encode()
         alone = len(self.plain.compress(raw))
         return sorted(((1 - len(c.compress(raw)) / alone, name) for name, c in self.given.items()), key=lambda x: (-x[0], x[1]))
 
-    def differences(self, block: list[str], name: str) -> tuple[list[str], list[str]]:
+    def differences(self, block: list[str], name: tuple[str, int]) -> tuple[list[str], list[str]]:
         """Words of the notice that the block lacks, and words of the block that stand between those of the notice."""
         notice = self.words[name]
         pairs = [m for m in SequenceMatcher(None, notice, block, autojunk=False).get_matching_blocks() if m.size]
@@ -90,7 +168,7 @@ class Matcher:
         for reduction, name in ranked[:tries] if tries else ranked:
             missing, extra = self.differences(words, name)
             if len(missing) + len(extra) <= tolerance * len(self.words[name]):
-                yield name, reduction, missing, extra
+                yield name[0], reduction, missing, extra
                 text = " ".join(words)
                 words = self.split(text.replace(" ".join(self.words[name]), " ", 1)) if not missing and not extra else []
 
@@ -99,7 +177,7 @@ FOUND = "array<struct<start:int,stop:int,licence:string,reduction:double,missing
 
 
 def find_licences(
-    docs: DataFrame, notices: Mapping[str, str] = NOTICES, tries: int = 0, tolerance: float = 0.05, id_col: str = "doc_id", text_col: str = "text",
+    docs: DataFrame, notices: Mapping[str, str | Sequence[str]] = TEMPLATES, tries: int = 0, tolerance: float = 0.05, id_col: str = "doc_id", text_col: str = "text",
 ) -> DataFrame:
     """Per row: ``doc_id``, ``n_candidates`` (blocks around a licence word) and ``found``, the confirmed notices.
 
@@ -134,7 +212,11 @@ def find_licences(
 
 
 def licence_report(docs: DataFrame, **options) -> DataFrame:
-    """Per row: ``doc_id``, ``n_candidates``, ``n_licences`` (different ones) and ``licences`` (their names, comma-joined)."""
+    """Per row: ``doc_id``, ``n_candidates``, ``n_licences`` (different ones), ``licences`` (their names, comma-joined) and
+    ``reserved``, the names of the notices that grant nothing (``RESERVED``); these are not among the licences."""
     names = F.array_sort(F.array_distinct(F.transform("found", lambda f: f["licence"])))
     found = find_licences(docs, **options).select("doc_id", "n_candidates", names.alias("names"))
-    return found.select("doc_id", "n_candidates", F.size("names").cast("long").alias("n_licences"), F.array_join("names", ",").alias("licences"))
+    kept = F.array([F.lit(n) for n in RESERVED])
+    granted, reserved = F.array_except("names", kept), F.array_intersect("names", kept)
+    return found.select("doc_id", "n_candidates", F.size(granted).cast("long").alias("n_licences"), F.array_join(granted, ",").alias("licences"),
+                        F.array_join(reserved, ",").alias("reserved"))

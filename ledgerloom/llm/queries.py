@@ -42,7 +42,7 @@ def op6_decontam(spark: SparkSession, root: str) -> DataFrame:
 
 
 def op7_licences(spark: SparkSession, root: str) -> DataFrame:
-    return licence_report(read(spark, root, "documents")).drop("n_candidates")
+    return licence_report(read(spark, root, "documents")).drop("n_candidates", "reserved")
 
 
 def op8_toxicity(spark: SparkSession, root: str) -> DataFrame:

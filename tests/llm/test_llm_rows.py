@@ -199,3 +199,18 @@ def test_licence_notices_are_confirmed_word_by_word(spark):
     loose = find_licences(frame(spark, [(1, "Licensed under the Apache License, Version 2.1.")]), tolerance=0.5).first().found[0]
     assert (loose.licence, loose.missing, loose.extra) == ("Apache-2.0", ["2.0"], [])
     assert licence_report(frame(spark, [])).count() == 0
+
+
+def test_licence_wordings_that_are_not_in_the_tables(spark):
+    from ledgerloom.llm.licences import licence_report
+
+    said = {
+        "MIT": ["SPDX-License-Identifier: MIT", "(c) Jo. The MIT License (MIT)"], "GPL-3.0": ["GNU General Public License v3", "# SPDX-License-Identifier: GPL-3.0-or-later"],
+        "BSD-3-Clause": ["Under the New BSD License, as is."], "CC-BY-SA-4.0": ["Text: Creative Commons Attribution-ShareAlike 4.0 International License."],
+        "Apache-2.0": ["Apache License 2.0", "the Apache Software License 2.0"],
+    }
+    rows = [(n, t) for n, t in enumerate(t for texts in said.values() for t in texts)]
+    got = {r.doc_id: r.licences for r in licence_report(frame(spark, rows)).collect()}
+    assert [got[k] for k, _ in rows] == [name for name, texts in said.items() for _ in texts]
+    held = licence_report(frame(spark, [(1, "Copyright 1999 Jo. All rights reserved."), (2, "Proprietary and confidential. All rights reserved.")])).collect()
+    assert {r.doc_id: (r.n_licences, r.licences, r.reserved) for r in held} == {1: (0, "", "all-rights-reserved"), 2: (0, "", "all-rights-reserved,proprietary")}
