@@ -3,8 +3,7 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator, Mapping, Sequence
-from difflib import SequenceMatcher
+from collections.abc import Callable, Iterator, Mapping, Sequence
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -109,7 +108,16 @@ TEMPLATES |= RESERVED
 TRIGGERS = re.compile(r"licen[sc]e|public domain|copyright|all rights reserved|creative ?commons|\bcc[ -]by\b|\bcc0\b|free software|proprietary|unauthori[sz]ed copying", re.I)
 #: Characters of the same line kept on each side of a trigger.
 REACH = 200
-_WORD = re.compile(r"[^\W_]+(?:[.-][^\W_]+)*")
+#: Numbers with their points, or runs of letters and digits; hyphens and other signs part words.
+_WORD = re.compile(r"v?\d+(?:\.\d+)+|[^\W_]+", re.I)
+#: Words a notice may lack, add or exchange whatever its length, but at most one in three.
+SLACK = 2
+#: A version number, or a word that tells one licence from another, counts as so many words.
+WEIGHT = 3
+#: Words that tell licences apart, besides the parts of the licences' names.
+TELLING = frozenset("gnu lesser library affero mozilla eclipse attribution noncommercial sharealike noderivatives noderivs commercial derivatives simplified new modified revised not".split())
+_PLAIN = frozenset("license licensed public general the of and or a all".split())
+_USED = ""
 
 
 def candidate_blocks(text: str, reach: int = REACH) -> list[tuple[int, int]]:
@@ -127,6 +135,74 @@ def candidate_blocks(text: str, reach: int = REACH) -> list[tuple[int, int]]:
     return [(a, b) for a, b in out]
 
 
+def word_key(word: str) -> str:
+    """What is compared: lower case, one spelling of licence, 3 for v3 and 3.0."""
+    word = word.lower().replace("licence", "license")
+    number = re.fullmatch(r"v?(\d+(?:\.\d+)*?)(?:\.0)*", word)
+    return number[1] if number else word
+
+
+def misspelt(a: str, b: str) -> bool:
+    """Words of five letters or more, one letter put in, left out, exchanged or swapped with the next."""
+    if a == b or min(len(a), len(b)) < 5 or abs(len(a) - len(b)) > 1 or any(c.isdigit() for c in a + b):
+        return False
+    k = next((k for k, (x, y) in enumerate(zip(a, b)) if x != y), min(len(a), len(b)))
+    return a[k + 1:] == b[k + 1:] or a[k:] == b[k + 1:] or a[k + 1:] == b[k:] or (a[k:k + 2] == b[k:k + 2][::-1] and a[k + 2:] == b[k + 2:])
+
+
+def exchange(a: str, b: str, costs: tuple[int, int]) -> int:
+    return 1 if max(costs) > 1 and misspelt(a, b) else max(costs)
+
+
+def fit(notice: list[str], block: list[str], budget: float, weight: Callable[[str], int]) -> tuple[int, int, set[int], set[int]] | None:
+    """The stretch of ``block`` with the least difference from ``notice``, if that is at most ``budget``; the first of equal ones.
+
+    A lacking, an added and an exchanged word count its weight (an exchange the larger of two, a slip of
+    one letter in a long word 1). Cells above the budget
+    are not followed. Gives the start and the end of the stretch, and the positions in notice and block that are equal.
+    """
+    n, costs = len(notice), [weight(w) for w in notice]
+    column, best, end = [0.0], budget, -1
+    for c in costs:
+        if column[-1] + c > budget:
+            break
+        column.append(column[-1] + c)
+    columns = [column]
+    for j, w in enumerate(block):
+        extra, before = weight(w), columns[-1]
+        column = [0.0]
+        for i in range(1, n + 1):
+            x = column[i - 1] + costs[i - 1]
+            if i <= len(before):
+                x = min(x, before[i - 1] + (0 if notice[i - 1] == w else exchange(notice[i - 1], w, (costs[i - 1], extra))))
+                if i < len(before):
+                    x = min(x, before[i] + extra)
+            elif x > budget:
+                break
+            column.append(x)
+        while column[-1] > budget:
+            column.pop()
+        columns.append(column)
+        if len(column) > n and (end < 0 or column[n] < best):
+            best, end = column[n], j + 1
+    if end < 0:
+        return None
+    i, j, here, there = n, end, set(), set()
+    at = lambda i, j: columns[j][i] if i < len(columns[j]) else float("inf")
+    while i:
+        now = columns[j][i]
+        if j and notice[i - 1] == block[j - 1] and now == at(i - 1, j - 1):
+            i, j = i - 1, j - 1
+            here.add(i), there.add(j)
+        elif now == at(i - 1, j) + costs[i - 1]:
+            i -= 1
+        elif now == at(i - 1, j - 1) + exchange(notice[i - 1], block[j - 1], (costs[i - 1], weight(block[j - 1]))):
+            i, j = i - 1, j - 1
+        else:
+            j -= 1
+    return (min(there), max(there) + 1, here, there) if there else None
+
+
 class Matcher:
     """Rank notices for a block by how much shorter it gets once a notice is the compressor's dictionary."""
 
@@ -134,43 +210,52 @@ class Matcher:
         import zstandard as z
 
         notices = {(name, k): t for name, said in notices.items() for k, t in enumerate([said] if isinstance(said, str) else said)}
-
         self.plain = z.ZstdCompressor(level=level)
+        self.words = {name: self.split(notice) for name, notice in notices.items()}
+        self.keys = {name: [word_key(w) for w in words] for name, words in self.words.items()}
         self.given = {}
-        for name, notice in notices.items():
-            held = z.ZstdCompressionDict(notice.encode(), dict_type=z.DICT_TYPE_RAWCONTENT)
+        for name, keys in self.keys.items():
+            held = z.ZstdCompressionDict(" ".join(keys).encode(), dict_type=z.DICT_TYPE_RAWCONTENT)
             self.given[name] = z.ZstdCompressor(level=level, dict_data=held)
-        self.words = {name: self.split(notice) for name, notice in notices.items()}
+        self.telling = TELLING | {word_key(w) for name, _ in notices for w in self.split(name)} - _PLAIN
+        self.need = {name: {w: 1 if misspelt(w, w + w[-1]) else self.weight(w) for w in keys} for name, keys in self.keys.items()}
 
     @staticmethod
     def split(text: str) -> list[str]:
         return [w.lower() for w in _WORD.findall(text)]
 
-    def ranked(self, block: str) -> list[tuple[float, tuple[str, int]]]:
-        raw = block.encode()
-        alone = len(self.plain.compress(raw))
-        return sorted(((1 - len(c.compress(raw)) / alone, name) for name, c in self.given.items()), key=lambda x: (-x[0], x[1]))
-
-    def differences(self, block: list[str], name: tuple[str, int]) -> tuple[list[str], list[str]]:
-        """Words of the notice that the block lacks, and words of the block that stand between those of the notice."""
-        notice = self.words[name]
-        pairs = [m for m in SequenceMatcher(None, notice, block, autojunk=False).get_matching_blocks() if m.size]
-        hit = {m.a + k for m in pairs for k in range(m.size)}
-        missing = [w for k, w in enumerate(notice) if k not in hit]
-        inside = {m.b + k for m in pairs for k in range(m.size)}
-        first, last = (min(inside), max(inside)) if inside else (0, -1)
-        return missing, [block[k] for k in range(first, last + 1) if k not in inside]
-
-    def confirmed(self, block: str, tries: int, tolerance: float) -> Iterator[tuple[str, float, list[str], list[str]]]:
-        """Notices of a block, best reduction first. Words once used confirm no second notice."""
-        words = self.split(block)
-        ranked = self.ranked(block)
-        for reduction, name in ranked[:tries] if tries else ranked:
-            missing, extra = self.differences(words, name)
-            if len(missing) + len(extra) <= tolerance * len(self.words[name]):
-                yield name[0], reduction, missing, extra
-                text = " ".join(words)
-                words = self.split(text.replace(" ".join(self.words[name]), " ", 1)) if not missing and not extra else []
+    def weight(self, key: str) -> int:
+        return WEIGHT if key in self.telling or key == _USED or any(c.isdigit() for c in key) else 1
+
+    def budget(self, name: tuple[str, int], tolerance: float) -> float:
+        n = len(self.keys[name])
+        return max(tolerance * n, min(SLACK, n // 3))
+
+    def gain(self, keys: list[str], name: tuple[str, int]) -> float:
+        raw = " ".join(keys).encode()
+        return 1 - len(self.given[name].compress(raw)) / len(self.plain.compress(raw))
+
+    def ranked(self, keys: list[str], tolerance: float) -> list[tuple[float, tuple[str, int]]]:
+        """The notices that do not lack too many of their words in the whole block, best gain first."""
+        own = set(keys)
+        able = [name for name, need in self.need.items() if keys and sum(c for w, c in need.items() if w not in own) <= self.budget(name, tolerance)]
+        return sorted(((self.gain(keys, name), name) for name in able), key=lambda x: (-x[0], x[1]))
+
+    def confirmed(self, block: str, tries: int, tolerance: float) -> Iterator[tuple[int, int, str, float, list[str], list[str]]]:
+        """Notices of a block, best reduction first, with their place. Words once used confirm no second notice."""
+        spans = [m.span() for m in _WORD.finditer(block)]
+        words = [block[a:b].lower() for a, b in spans]
+        keys = [word_key(w) for w in words]
+        ranked = self.ranked(keys, tolerance)
+        for _, name in ranked[:tries] if tries else ranked:
+            while hit := fit(self.keys[name], keys, self.budget(name, tolerance), self.weight):
+                start, stop, here, there = hit
+                missing = [w for k, w in enumerate(self.words[name]) if k not in here]
+                extra = [words[k] for k in range(start, stop) if k not in there]
+                signs = re.compile(r"[.!?)\"']*").match(block, spans[stop - 1][1]).end()
+                yield spans[start][0], signs, name[0], self.gain(keys[start:stop], name), missing, extra
+                for k in there:
+                    keys[k] = _USED
 
 
 FOUND = "array<struct<start:int,stop:int,licence:string,reduction:double,missing:array<string>,extra:array<string>>>"
@@ -182,8 +267,11 @@ def find_licences(
     """Per row: ``doc_id``, ``n_candidates`` (blocks around a licence word) and ``found``, the confirmed notices.
 
     Every candidate block is compressed alone and with each notice as a raw zstandard dictionary. The notices are tried in
-    the order of the size reduction (the best ``tries``; 0: all); one is confirmed if the words that the block lacks or
-    adds are at most ``tolerance`` of its words, which for a short notice means none. A block can hold several notices.
+    the order of the size reduction (the best ``tries``; 0: all), and the first to be confirmed has the words. One is
+    confirmed if the words that the block lacks, adds or exchanges are at most ``tolerance`` of its words, or two
+    (``SLACK``) and no more than a third of them; version numbers and words that tell licences apart count as three words
+    (``WEIGHT``). The differences are reported. A block can hold several notices, and one more than once. ``reduction``
+    is that of the stretch that holds the notice, from ``start`` to ``stop``.
 
     One pass over the rows without shuffle. Null and empty texts have no blocks; texts are searched whole; equal
     reductions are ordered by name; repeated rows and null ids get results of their own; no rows give no rows. Other
@@ -204,8 +292,8 @@ def find_licences(
                 blocks = candidate_blocks(text)
                 counts.append(len(blocks))
                 found.append([
-                    {"start": a, "stop": b, "licence": name, "reduction": r, "missing": missing, "extra": extra}
-                    for a, b in blocks for name, r, missing, extra in matcher.confirmed(text[a:b], tries, tolerance)])
+                    {"start": a + start, "stop": a + stop, "licence": name, "reduction": r, "missing": missing, "extra": extra}
+                    for a, b in blocks for start, stop, name, r, missing, extra in matcher.confirmed(text[a:b], tries, tolerance)])
             yield pa.record_batch([batch.column(0), pa.array(counts, pa.int64()), pa.array(found, found_type)], ["doc_id", "n_candidates", "found"])
 
     return rows.mapInArrow(run, f"doc_id {kind}, n_candidates bigint, found {FOUND}")

@@ -214,3 +214,19 @@ def test_licence_wordings_that_are_not_in_the_tables(spark):
     assert [got[k] for k, _ in rows] == [name for name, texts in said.items() for _ in texts]
     held = licence_report(frame(spark, [(1, "Copyright 1999 Jo. All rights reserved."), (2, "Proprietary and confidential. All rights reserved.")])).collect()
     assert {r.doc_id: (r.n_licences, r.licences, r.reserved) for r in held} == {1: (0, "", "all-rights-reserved"), 2: (0, "", "all-rights-reserved,proprietary")}
+
+
+def test_licence_notices_with_a_few_other_words(spark):
+    from ledgerloom.llm.licences import find_licences
+
+    said = [
+        ("Licensed under Apache License 2.0", ["Apache-2.0"]), ("Licensed under the MIT Licence", ["MIT"]), ("Licensed under the Apche License, Version 2.0.", ["Apache-2.0"]),
+        ("This work is licenced under the GNU General Publik License, version 3.", ["GPL-3.0"]), ("This work is licensed under the GNU General Public License, version 4.", []),
+        ("This work is licensed under the GNU Lesser General Public License, version 3.", ["LGPL-3.0"]), ("Licensed under CC BY-ND 4.0.", ["CC-BY-ND-4.0"]),
+        ("This work is now licensed under the GNU General Public License, version 2. Released under the MIT License.", ["GPL-2.0", "MIT"]),
+        ("Released under the MIT License. Also: Released under the MIT License.", ["MIT", "MIT"]), ("see http://www.apache.org/licenses/LICENSE-2.0", ["Apache-2.0"]),
+    ]
+    got = {r.doc_id: r.found for r in find_licences(frame(spark, [(k, t) for k, (t, _) in enumerate(said)])).collect()}
+    assert [sorted(f.licence for f in got[k]) for k in range(len(said))] == [names for _, names in said]
+    assert [(f.missing, f.extra) for f in got[7] if f.licence == "GPL-2.0"] == [([], ["now"])]
+    assert [said[3][0][f.start: f.stop] for f in got[3]] == [said[3][0]] and got[3][0].extra == ["publik"]
