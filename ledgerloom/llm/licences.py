@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from bisect import bisect_left, bisect_right
 from collections.abc import Callable, Iterator, Mapping, Sequence
 
 import pyarrow as pa
@@ -105,9 +106,8 @@ TEMPLATES = {name: (*said, f"SPDX-License-Identifier: {name}") for name, said in
 TEMPLATES |= {name: (*TEMPLATES[name], *(f"SPDX-License-Identifier: {name}-{more}" for more in ("only", "or-later"))) for name in TEMPLATES if "GPL" in name}
 TEMPLATES |= RESERVED
 #: A text around one of these is a candidate.
-TRIGGERS = re.compile(r"licen[sc]e|public domain|copyright|all rights reserved|creative ?commons|\bcc[ -]by\b|\bcc0\b|free software|proprietary|unauthori[sz]ed copying", re.I)
-#: Characters of the same line kept on each side of a trigger.
-REACH = 200
+TRIGGERS = re.compile(
+    r"licen[sc]e|public\W+domain|copyright|all\W+rights\W+reserved|creative\W*commons|\bcc\W+by\b|\bcc0\b|free\W+software|proprietary|unauthori[sz]ed\W+copying", re.I)
 #: Numbers with their points, or runs of letters and digits; hyphens and other signs part words.
 _WORD = re.compile(r"v?\d+(?:\.\d+)+|[^\W_]+", re.I)
 #: Words a notice may lack, add or exchange whatever its length, but at most one in three.
@@ -120,19 +120,22 @@ _PLAIN = frozenset("license licensed public general the of and or a all".split()
 _USED = ""
 
 
-def candidate_blocks(text: str, reach: int = REACH) -> list[tuple[int, int]]:
-    """Stretches around triggers, within their line; overlapping ones are one."""
+def candidate_blocks(text: str, reach: int, triggers: re.Pattern = TRIGGERS) -> list[tuple[int, int]]:
+    """Stretches of ``reach`` words on each side of triggers, across line ends; overlapping or touching ones are one."""
+    places = [m.span() for m in triggers.finditer(text)]
+    if not places:
+        return []
+    starts, stops = zip(*(m.span() for m in _WORD.finditer(text)))
     out: list[list[int]] = []
-    for m in TRIGGERS.finditer(text):
-        line_start = text.rfind("\n", max(0, m.start() - reach), m.start()) + 1
-        line_end = text.find("\n", m.end(), m.end() + reach)
-        a = line_start or max(0, m.start() - reach)
-        b = line_end if line_end >= 0 else min(len(text), m.end() + reach)
-        if out and a <= out[-1][1]:
-            out[-1][1] = max(out[-1][1], b)
+    for a, b in places:
+        first = max(0, bisect_right(starts, a) - 1 - reach)
+        last = min(len(starts), bisect_left(starts, b) + reach)
+        if out and first <= out[-1][1]:
+            out[-1][1] = max(out[-1][1], last)
         else:
-            out.append([a, b])
-    return [(a, b) for a, b in out]
+            out.append([first, last])
+    # signs before the first and after the last word go with the block
+    return [(starts[i] if i else 0, starts[j] if j < len(starts) else len(text)) for i, j in out]
 
 
 def word_key(word: str) -> str:
@@ -154,21 +157,27 @@ def exchange(a: str, b: str, costs: tuple[int, int]) -> int:
     return 1 if max(costs) > 1 and misspelt(a, b) else max(costs)
 
 
-def fit(notice: list[str], block: list[str], budget: float, weight: Callable[[str], int]) -> tuple[int, int, set[int], set[int]] | None:
-    """The stretch of ``block`` with the least difference from ``notice``, if that is at most ``budget``; the first of equal ones.
+def fit(notice: list[str], block: list[str], budget: float, weight: Callable[[str], int], begin: int = 0) -> tuple[int, int, set[int], set[int], int] | None:
+    """A stretch of ``block`` from ``begin`` on with a difference from ``notice`` of at most ``budget``.
+
+    It is the one with the least difference, and the first of equal ones, among those that can overlap the first found.
 
     A lacking, an added and an exchanged word count its weight (an exchange the larger of two, a slip of
     one letter in a long word 1). Cells above the budget
-    are not followed. Gives the start and the end of the stretch, and the positions in notice and block that are equal.
+    are not followed. Gives the start and the end of the stretch, the positions in notice and block that are equal, and
+    from where other stretches can begin.
     """
     n, costs = len(notice), [weight(w) for w in notice]
-    column, best, end = [0.0], budget, -1
+    span = n + int(budget)
+    column, best, end, again = [0.0], budget, -1, begin
     for c in costs:
         if column[-1] + c > budget:
             break
         column.append(column[-1] + c)
     columns = [column]
-    for j, w in enumerate(block):
+    for j, w in enumerate(block[begin:] if begin else block):
+        if end >= 0 and j >= end + span:
+            break
         extra, before = weight(w), columns[-1]
         column = [0.0]
         for i in range(1, n + 1):
@@ -184,6 +193,7 @@ def fit(notice: list[str], block: list[str], budget: float, weight: Callable[[st
             column.pop()
         columns.append(column)
         if len(column) > n and (end < 0 or column[n] < best):
+            again = again if end >= 0 else max(begin, begin + j + 1 - span)
             best, end = column[n], j + 1
     if end < 0:
         return None
@@ -191,16 +201,16 @@ def fit(notice: list[str], block: list[str], budget: float, weight: Callable[[st
     at = lambda i, j: columns[j][i] if i < len(columns[j]) else float("inf")
     while i:
         now = columns[j][i]
-        if j and notice[i - 1] == block[j - 1] and now == at(i - 1, j - 1):
+        if j and notice[i - 1] == block[begin + j - 1] and now == at(i - 1, j - 1):
             i, j = i - 1, j - 1
-            here.add(i), there.add(j)
+            here.add(i), there.add(begin + j)
         elif now == at(i - 1, j) + costs[i - 1]:
             i -= 1
-        elif now == at(i - 1, j - 1) + exchange(notice[i - 1], block[j - 1], (costs[i - 1], weight(block[j - 1]))):
+        elif now == at(i - 1, j - 1) + exchange(notice[i - 1], block[begin + j - 1], (costs[i - 1], weight(block[begin + j - 1]))):
             i, j = i - 1, j - 1
         else:
             j -= 1
-    return (min(there), max(there) + 1, here, there) if there else None
+    return (min(there), max(there) + 1, here, there, again) if there else None
 
 
 class Matcher:
@@ -220,6 +230,16 @@ class Matcher:
         self.telling = TELLING | {word_key(w) for name, _ in notices for w in self.split(name)} - _PLAIN
         self.need = {name: {w: 1 if misspelt(w, w + w[-1]) else self.weight(w) for w in keys} for name, keys in self.keys.items()}
 
+    def reach(self, tolerance: float) -> int:
+        """Words of the longest stretch that can be confirmed."""
+        return max((len(keys) + int(self.budget(name, tolerance)) for name, keys in self.keys.items()), default=0)
+
+    def triggers(self, tolerance: float) -> re.Pattern:
+        """``TRIGGERS``; a notice without one adds so many of its longest words that a confirmed one has one of them."""
+        own = {w for name, words in self.words.items() if not TRIGGERS.search(" ".join(words))
+               for w in sorted(set(words), key=lambda w: (-len(w), w))[:int(self.budget(name, tolerance)) + 1]}
+        return re.compile("|".join([TRIGGERS.pattern, *(rf"\b{re.escape(w)}\b" for w in sorted(own))]), re.I)
+
     @staticmethod
     def split(text: str) -> list[str]:
         return [w.lower() for w in _WORD.findall(text)]
@@ -248,8 +268,9 @@ class Matcher:
         keys = [word_key(w) for w in words]
         ranked = self.ranked(keys, tolerance)
         for _, name in ranked[:tries] if tries else ranked:
-            while hit := fit(self.keys[name], keys, self.budget(name, tolerance), self.weight):
-                start, stop, here, there = hit
+            begin = 0
+            while hit := fit(self.keys[name], keys, self.budget(name, tolerance), self.weight, begin):
+                start, stop, here, there, begin = hit
                 missing = [w for k, w in enumerate(self.words[name]) if k not in here]
                 extra = [words[k] for k in range(start, stop) if k not in there]
                 signs = re.compile(r"[.!?)\"']*").match(block, spans[stop - 1][1]).end()
@@ -266,7 +287,8 @@ def find_licences(
 ) -> DataFrame:
     """Per row: ``doc_id``, ``n_candidates`` (blocks around a licence word) and ``found``, the confirmed notices.
 
-    Every candidate block is compressed alone and with each notice as a raw zstandard dictionary. The notices are tried in
+    A block has on each side of a licence word as many words as the longest notice, across line ends; white space and
+    signs, those of comments too, do not count. Every candidate block is compressed alone and with each notice as a raw zstandard dictionary. The notices are tried in
     the order of the size reduction (the best ``tries``; 0: all), and the first to be confirmed has the words. One is
     confirmed if the words that the block lacks, adds or exchanges are at most ``tolerance`` of its words, or two
     (``SLACK``) and no more than a third of them; version numbers and words that tell licences apart count as three words
@@ -286,10 +308,11 @@ def find_licences(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         matcher = Matcher(notices)
+        reach, triggers = matcher.reach(tolerance), matcher.triggers(tolerance)
         for batch in slices(batches, 1):
             counts, found = [], []
             for text in batch.column(1).to_pylist():
-                blocks = candidate_blocks(text)
+                blocks = candidate_blocks(text, reach, triggers)
                 counts.append(len(blocks))
                 found.append([
                     {"start": a + start, "stop": a + stop, "licence": name, "reduction": r, "missing": missing, "extra": extra}

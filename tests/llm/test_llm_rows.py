@@ -230,3 +230,20 @@ def test_licence_notices_with_a_few_other_words(spark):
     assert [sorted(f.licence for f in got[k]) for k in range(len(said))] == [names for _, names in said]
     assert [(f.missing, f.extra) for f in got[7] if f.licence == "GPL-2.0"] == [([], ["now"])]
     assert [said[3][0][f.start: f.stop] for f in got[3]] == [said[3][0]] and got[3][0].extra == ["publik"]
+
+
+def test_licence_notices_over_several_lines(spark):
+    from ledgerloom.llm.licences import WORDINGS, find_licences, licence_report
+
+    grant = WORDINGS["MIT"][0].split()
+    lines = "\n".join(" *  " + " ".join(grant[k:k + 7]) for k in range(0, len(grant), 7))
+    far = " ".join(f"w{k}" for k in range(3000))
+    rows = [(1, "Licensed under the Apache License,\nVersion 2.0"), (2, "# Licensed under the Apache\n#   License,\n# Version 2.0"), (3, f"/*\n{lines}\n */\nint x;"),
+            (4, f"All rights\r\n// reserved. {far}\nReleased under\nthe MIT License. {far}")]
+    got = {r.doc_id: (r.licences, r.reserved, r.n_candidates) for r in licence_report(frame(spark, rows)).collect()}
+    assert got == {1: ("Apache-2.0", "", 1), 2: ("Apache-2.0", "", 1), 3: ("MIT", "", 1), 4: ("MIT", "all-rights-reserved", 2)}
+    house = "\n".join(f"clause {k} of the house terms says that item {k} is kept" for k in range(100))
+    found = find_licences(frame(spark, [(1, f"before\n{house}\nafter")]), notices={"House": house}).first().found
+    assert [(f.licence, f.start, f.stop, f.missing, f.extra) for f in found] == [("House", 7, 7 + len(house), [], [])]
+    many = find_licences(frame(spark, [(1, "Released under the MIT License.\n" * 3000)])).first().found
+    assert len(many) == 3000 and {f.licence for f in many} == {"MIT"} and many[1].start == 32
