@@ -164,7 +164,7 @@ def _(star):
           AND json_extract_string(x.payload, '$.supplier') = json_extract_string(a.payload, '$.supplier'))""")
 def _(star):
     acts = star.actions().withColumn("supplier", F.get_json_object("payload", "$.supplier"))
-    live = star.actions().filter((F.col("level") == 4) & (F.col("action_type") == "scm_reorder") & (F.col("status") != "proposed"))
+    live = star.actions().filter(F.col("status") != "proposed")  # of any level and type
     handled = A.live_keys(live, "supplier")
     return acts.filter(F.col("status") == "proposed").join(handled, "supplier", "left_anti").select("action_id", "action_type")
 

@@ -131,3 +131,17 @@ def test_budget_needs_a_budget(spark):
     budgets = spark.createDataFrame([("a", 100.0), ("b", 100.0)], "g string, budget_usd double")
     got = {r.g: r.budget_flag for r in G.budget_overage(spend, budgets, ("g",)).collect()}
     assert got == {"a": "within", "b": "over", "c": "no_budget"}
+
+
+def test_a_live_action_of_any_level_or_type_handles_its_key(spark, monkeypatch):
+    from ledgerloom.catalog.actions import REG
+
+    say = lambda who: '{"supplier": "%s"}' % who
+    rows = spark.createDataFrame([
+        (1, "scm_reorder", 4, "proposed", say("a")), (2, "escalation", 2, "escalated", say("a")), (3, "scm_reorder", 4, "proposed", say("b")),
+        (4, "scm_reorder", 3, "executed", say("b")), (5, "scm_reorder", 4, "proposed", say("c")), (6, "scm_reroute", 4, "rejected", say("c")),
+        (7, "quote_send", 1, "proposed", "{}"),
+    ], "action_id long, action_type string, level int, status string, payload string")
+    monkeypatch.setattr("ledgerloom.sources.star.Star.actions", lambda self: rows)
+    got = REG.queries["join_anti_handled"](spark, "").collect()
+    assert sorted(r.action_id for r in got) == [5, 7]
