@@ -150,7 +150,8 @@ def near_duplicates(
     member (the one with most company over all its buckets) is compared with all others there, on full sets. Buckets
     that still hold several components are then searched whole, in blocks and by sketch alone; the pairs the sketches
     cannot rule out are confirmed on full sets. With 42 bands of 6 registers a pair at 0.85 is missed by all bands with a
-    chance of about two in a billion, one at 0.8 with one in three million.
+    chance of about two in a billion, one at 0.8 with 2.8 in a million, (1 - 0.8**6)**42, or a little less
+    where registers match by chance. Missed pairs are not searched in another way.
 
     Null and empty texts have no shingles and are linked with nothing. Texts are read whole. Rows with equal ids and texts
     are one document twice and get equal results; a null id ranks last, so it names a group only where all ids are null.
