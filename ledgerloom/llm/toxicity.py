@@ -15,8 +15,10 @@ from .tables import cut_lineage, held_out, text_of
 
 #: Bytes of the word starts that serve as patterns; 0 stands for the whole word.
 STEMS = (0, 4, 5, 6)
-#: Training rows that voters are mined from and models fitted on, and voters of each sort.
-FIT_ROWS, VOTERS = 20_000, 48
+#: Training rows that models are fitted on; voters are mined from all of them.
+FIT_ROWS = 20_000
+#: Labels of up to so many rows (16 bytes each) are broadcast.
+BROADCAST_ROWS = 2_000_000
 #: Voters on the whole text, after the mined ones: any hit, two different hits, a hit per hundred words, no hit at all.
 TEXT_VOTERS = 4
 
@@ -85,12 +87,12 @@ class Voters:
         return out
 
 
-def mine(training: DataFrame, each: int = VOTERS, least: int = 3, precision: float = 0.7) -> Voters:
+def mine(training: DataFrame, least: int = 3, precision: float = 0.7) -> Voters:
     """The words and word starts that stand in toxic training texts far more often than in others.
 
     A term needs ``least`` toxic texts, at least ``precision`` of its texts toxic, and a gain in log-likelihood that chance would
-    not reach among all the terms that were counted. The ``each`` best of every sort stand for election by gain; one that
-    starts another elected one, or that an elected one starts, says the same and is left out.
+    not reach among all the terms that were counted. They all stand for election by gain; one that starts another elected
+    one, or that an elected one starts, says the same and is left out.
     """
     texts, bad = training.agg(F.count("*"), F.coalesce(F.sum("y"), F.lit(0))).first()
     counts = cut_lineage(training.select("text", "y").mapInArrow(_count_terms, "stem int, code bigint, n bigint, toxic bigint, term binary").groupBy(
@@ -101,18 +103,29 @@ def mine(training: DataFrame, each: int = VOTERS, least: int = 3, precision: flo
     gain = F.col("toxic") * F.log(share / prior) + (F.col("n") - F.col("toxic")) * F.log((1 - share) / (1 - prior))
     ranked = counts.filter((F.col("toxic") >= least) & (share >= precision) & (share > prior)).select(
         "stem", "code", "term", gain.alias("gain")).filter(F.col("gain") > chance)
-    found = []
-    for stem in STEMS:
-        found += ranked.filter(F.col("stem") == stem).orderBy(F.desc("gain"), "code").limit(each).collect()
-    elected = []
-    for r in sorted(found, key=lambda r: (-r.gain, STEMS.index(r.stem), r.code)):
-        if not any(r.term.startswith(e.term) or e.term.startswith(r.term) for e in elected):
+    elected, terms, starts = [], set(), set()
+    for r in sorted(ranked.collect(), key=lambda r: (-r.gain, STEMS.index(r.stem), r.code)):
+        own = {bytes(r.term[:k]) for k in range(1, len(r.term) + 1)}
+        if bytes(r.term) not in starts and not own & terms:
             elected.append(r)
+            terms.add(bytes(r.term))
+            starts |= own
     elected.sort(key=lambda r: STEMS.index(r.stem))
     codes = {stem: np.array([r.code for r in elected if r.stem == stem], np.int64).view(np.uint64) for stem in STEMS}
     return Voters(codes, [bytes(r.term) for r in elected])
 
 
+def blocks(votes: np.ndarray, rows: int = 1000) -> Iterator[tuple[slice, np.ndarray]]:
+    """Some rows of 0/1 bytes at a time as numbers, so that memory does not grow with rows times voters in doubles."""
+    for a in range(0, len(votes), rows):
+        yield slice(a, a + rows), votes[a: a + rows].astype(float)
+
+
+def weighted(votes: np.ndarray, *weights: np.ndarray) -> list[np.ndarray]:
+    """For each weighting of the rows the sums of the columns."""
+    return list(sum((np.array([w[at] for w in weights]) @ v for at, v in blocks(votes)), np.zeros((len(weights), votes.shape[1]))))
+
+
 class LabelModel:
     """What voters do on toxic and on clean texts, estimated by expectation maximisation over the votes.
 
@@ -124,14 +137,20 @@ class LabelModel:
 
     def __init__(self, votes: np.ndarray, y: np.ndarray, strength: float = 0.5, rounds: int = 30) -> None:
         q = y.astype(float)
-        told = [(strength * (w @ votes) + 0.1, strength * w.sum() + 0.2) for w in (q, 1 - q)]
+        told = [(strength * k + 0.1, strength * w.sum() + 0.2) for w, k in zip((q, 1 - q), weighted(votes, q, 1 - q))]
         self.share = np.ones(votes.shape[1])
         for _ in range(rounds):
             self.prior = np.clip(q.mean(), 1e-3, 1 - 1e-3)
-            self.on, self.off = ((w @ votes + k) / (w.sum() + n) for w, (k, n) in zip((q, 1 - q), told))
-            left = votes - np.outer(q, self.on) - np.outer(1 - q, self.off)
-            scale = np.sqrt(np.maximum((left**2).mean(0), 1e-6))
-            correlation = np.abs(left.T @ left / len(votes) / np.outer(scale, scale))
+            self.on, self.off = ((h + k) / (w.sum() + n) for w, h, (k, n) in zip((q, 1 - q), weighted(votes, q, 1 - q), told))
+            correlation = np.zeros((votes.shape[1], votes.shape[1]))
+            for at, v in blocks(votes):
+                v -= np.outer(q[at], self.on) + np.outer(1 - q[at], self.off)
+                correlation += v.T @ v
+            correlation /= len(votes)
+            scale = np.sqrt(np.maximum(np.diag(correlation), 1e-6))
+            correlation /= scale[:, None]
+            correlation /= scale
+            np.abs(correlation, out=correlation)
             np.fill_diagonal(correlation, 1)
             correlation[correlation < 0.1] = 0
             self.share = 1 / correlation.sum(1)
@@ -143,7 +162,7 @@ class LabelModel:
 
     def posterior(self, votes: np.ndarray) -> np.ndarray:
         on, off = np.log(self.on / self.off), np.log((1 - self.on) / (1 - self.off))
-        z = np.log(self.prior / (1 - self.prior)) + votes @ (on * self.share) + (1 - votes) @ (off * self.share)
+        z = np.log(self.prior / (1 - self.prior)) + off @ self.share + np.concatenate([v @ ((on - off) * self.share) for _, v in blocks(votes)])
         return 1 / (1 + np.exp(-np.clip(z, -40, 40)))
 
 
@@ -151,10 +170,14 @@ def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1.0, rounds: int = 25)
     """Weights of a logistic regression with soft labels; the last column of ``x`` is constant."""
     w = np.zeros(x.shape[1])
     w[-1] = np.log((y.mean() + 1e-3) / (1 - y.mean() + 1e-3))
+    keep = np.append(np.full(len(w) - 1, ridge), 1e-6)
     for _ in range(rounds):
-        p = 1 / (1 + np.exp(-np.clip(x @ w, -40, 40)))
-        keep = np.append(np.full(len(w) - 1, ridge), 1e-6)
-        step = np.linalg.solve((x * (p * (1 - p) + 1e-9)[:, None]).T @ x + np.diag(keep), x.T @ (y - p) - keep * w)
+        bend, slope = np.diag(keep), -keep * w
+        for at, v in blocks(x):
+            p = 1 / (1 + np.exp(-np.clip(v @ w, -40, 40)))
+            slope += v.T @ (y[at] - p)
+            bend += (v * (p * (1 - p) + 1e-9)[:, None]).T @ v
+        step = np.linalg.solve(bend, slope)
         w += np.clip(step, -4, 4)
         if np.abs(step).max() < 1e-6:
             break
@@ -162,24 +185,31 @@ def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1.0, rounds: int = 25)
 
 
 def fit(docs: DataFrame, labels: DataFrame, label: str, fit_rows: int, id_col: str, text_col: str) -> tuple[Voters, np.ndarray] | None:
-    """Voters and weights from at most ``fit_rows`` training rows, those with the smallest hashed ids."""
+    """Voters from all training rows; weights from the ``fit_rows`` labels with the smallest hashed ids.
+
+    If ids repeat, the label model sees at most twice as many rows, those with the smallest hash of id and text.
+    """
     known = labels.select(F.col("doc_id").alias("of"), F.col(label).cast("int").alias("y")).filter("y IS NOT NULL AND of IS NOT NULL").filter(~held_out("of"))
-    chosen = known.orderBy(F.xxhash64("of"), "of", "y").limit(fit_rows)
-    training = cut_lineage(docs.select(F.col(id_col).alias("id"), text_of(text_col).alias("text")).join(
-        F.broadcast(chosen), F.col("id") == F.col("of")).select("id", "text", "y"))
-    voters = mine(training)
+    texts = docs.select(F.col(id_col).alias("id"), text_of(text_col).alias("text"))
+
+    def of(side: DataFrame) -> DataFrame:
+        return texts.join(side, F.col("id") == F.col("of")).select("id", "text", "y")
+
+    voters = mine(of(F.broadcast(known) if known.count() <= BROADCAST_ROWS else known))
+    training = of(F.broadcast(known.orderBy(F.xxhash64("of"), "of", "y").limit(fit_rows)))
 
     def cast(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, 0):
             packed = np.packbits(voters.votes(batch.column(0)).astype(bool), axis=1)
-            yield pa.record_batch([pa.array([p.tobytes() for p in packed], pa.binary()), batch.column(1)], ["votes", "y"])
+            yield pa.record_batch([pa.array([p.tobytes() for p in packed], pa.binary()), batch.column(1), batch.column(2)], ["votes", "y", "place"])
 
-    rows = training.select("text", "y").mapInArrow(cast, "votes binary, y int").limit(2 * fit_rows).collect()  # bounded, some tens of bytes each
+    cast_votes = training.select("text", "y", F.xxhash64("id", "text").alias("place")).mapInArrow(cast, "votes binary, y int, place bigint")
+    rows = cast_votes.orderBy("place", "y", "votes").limit(2 * fit_rows).collect()  # bounded: a bit for each voter
     if not rows:
         return None
-    votes = np.unpackbits(np.frombuffer(b"".join(r.votes for r in rows), np.uint8).reshape(len(rows), -1), axis=1)[:, : voters.count].astype(float)
+    votes = np.unpackbits(np.frombuffer(b"".join(r.votes for r in rows), np.uint8).reshape(len(rows), -1), axis=1)[:, : voters.count]
     model = LabelModel(votes, np.array([r.y for r in rows]) > 0)
-    return voters, logistic(np.column_stack([votes, np.ones(len(votes))]), model.posterior(votes))
+    return voters, logistic(np.column_stack([votes, np.ones(len(votes), np.uint8)]), model.posterior(votes))
 
 
 def score_toxicity(
@@ -188,8 +218,8 @@ def score_toxicity(
 ) -> DataFrame:
     """Per row: ``doc_id``, ``held_out``, ``score`` in 0..1 (higher: label 1 likelier), ``predicted``.
 
-    Labels are read only from rows that are not held out, at most ``fit_rows`` of them: they mine the voters, whole words
-    (the lexicon) and starts of words (the patterns), and give the label model its prior. The classifier learns the
+    Labels are read only from rows that are not held out: all of them mine the voters, whole words (the lexicon) and starts
+    of words (the patterns), and at most ``fit_rows`` give the label model its votes and its prior. The classifier learns the
     model's posteriors, not the labels, and is applied to every whole text in one pass over the rows.
 
     Null and empty texts get the score of a text without hits; null labels and ids train nothing; repeated rows each get

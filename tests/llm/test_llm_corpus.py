@@ -221,3 +221,16 @@ def test_pipeline_is_its_stages(spark):
     assert {r.doc_id for r in got} == set(left)
     groups = plain_groups(sorted(left.items()), 5, 80)
     assert all(root == i or not n for i, (n, root) in groups.items())
+
+
+def test_toxic_terms_are_mined_from_all_training_rows(spark):
+    from ledgerloom.llm.toxicity import mine
+
+    terms = [f"q{a}{b}" for a in "abcdefghij" for b in "abcdefghij"]
+    said = [f"one two six {t} ten" for t in terms for _ in range(12)] + ["one two six ten"] * 4800
+    table = spark.createDataFrame([(t, int("q" in t)) for t in said], "text string, y int")
+    assert sorted(mine(table).terms) == sorted(t.encode() for t in terms)
+    docs = spark.createDataFrame([(k, t) for k, t in enumerate(said)], "doc_id long, text string")
+    labels = spark.createDataFrame([(k, int("q" in t)) for k, t in enumerate(said)], "doc_id long, toxic int")
+    found = score_toxicity(docs, labels).filter("predicted = 1").count()
+    assert found == 1200
