@@ -14,6 +14,7 @@ from .quality import score_quality
 from .sharding import byte_shards
 from .substrings import remove_repeats
 from .tables import read
+from .topk import search
 from .toxicity import score_toxicity
 
 
@@ -57,6 +58,10 @@ def op10_shards(spark: SparkSession, root: str) -> DataFrame:
     return byte_shards(read(spark, root, "documents"))
 
 
+def op11_topk(spark: SparkSession, root: str) -> DataFrame:
+    return search(read(spark, root, "embeddings"))
+
+
 QUERIES = {
     "op1_pack": op1_pack,
     "op2_nearest": op2_nearest,
@@ -68,6 +73,7 @@ QUERIES = {
     "op8_toxicity": op8_toxicity,
     "op9_quality": op9_quality,
     "op10_shards": op10_shards,
+    "op11_topk": op11_topk,
 }
 
 #: Words of a text as the contract of operator 6 takes them.
@@ -167,5 +173,17 @@ WITH sized AS (
 SELECT doc_id, size, {_CRC32.format("body")} AS text_crc32, 'bytes' AS law, shard,
        row_number() OVER (PARTITION BY shard ORDER BY doc_id) - 1 AS slot, CAST(NULL AS INTEGER) AS grown_shard
 FROM dealt
+""",
+    "op11_topk": """
+WITH held AS (
+    SELECT DISTINCT vec_id, list_transform(embedding, lambda x: floor(64 * CAST(x AS DOUBLE))) AS w
+    FROM embeddings
+    WHERE vec_id IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0
+), scored AS (
+    SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.w, c.w) AS BIGINT) AS score
+    FROM held q JOIN held c ON q.vec_id <> c.vec_id AND q.vec_id % 20 = 0
+)
+SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score
+FROM scored QUALIFY rank <= 20
 """,
 }
