@@ -4,7 +4,7 @@ from importlib import import_module
 
 MODULES = (
     "views", "core", "finance", "supply", "commercial", "governance", "actions", "detection",
-    "documents", "search", "forecasting", "memory", "evaluation", "jobs",
+    "documents", "search", "forecasting", "memory", "evaluation", "jobs", "sqlcalls",
 )
 
 

@@ -10,7 +10,7 @@ from ..operators import keyed as K
 from ..operators import ordered as O
 from ..operators import reports as T
 from ..sources import io as IO
-from ..sources.star import FOCUS_REGION, H1, Q1, Q2
+from ..sources.star import FOCUS_REGION, H1, Q1, Q2, VIEWS
 from ..sources.tables import TABLES, month_of
 from .registry import Registry
 from .star_sql import month_of as sql_month
@@ -74,16 +74,16 @@ def _(star):
     return IO.row_counts({t: star.table(t) for t in TABLES})
 
 
-STAR_VIEWS = ("products", "margin_actuals", "margin_budget", "fx_rates", "cost_drivers", "otif", "inventory", "lanes",
-              "service_levels", "accounts", "pipeline", "sales_actuals", "churn_signals")
+STAR_VIEWS = VIEWS
 
 
 @REG.add("load_star", " ".join(STAR_VIEWS),
          " UNION ALL ".join(f"SELECT '{v}' AS table_name, COUNT(*) AS row_count FROM {v}" for v in STAR_VIEWS))
 def _(star):
     report = IO.load_star(star.spark, {f"star_{v}": getattr(star, v) for v in STAR_VIEWS})
-    loaded = {n.removeprefix("star_"): star.spark.table(n) for n, status, _ in report if status == "loaded"}
-    return IO.row_counts(loaded)
+    loaded = [n.removeprefix("star_") for n, status, _ in report if status == "loaded"]
+    # counted from one pass over the line items, not by running every view
+    return star.view_rows().filter(F.col("view").isin(*loaded)).withColumnRenamed("view", "table_name")
 
 
 @REG.add("list_tables", sql=" UNION ALL ".join(f"SELECT '{t}' AS table_name, COUNT(*) AS row_count FROM {t}" for t in TABLES))

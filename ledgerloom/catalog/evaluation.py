@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from ..operators import evals as X
 from ..operators import metrics as M
+from ..session import cut_lineage
 from ..sources.star import FOCUS_LINE, FOCUS_REGION, H1
 from ..sources.tables import month_of
 from .finance import PERIODS, SWING
@@ -54,7 +55,9 @@ def _(star):
     def leg(view):
         return lambda: getattr(star, view)() if hasattr(star, view) else star.spark.table(view)
 
-    return X.leg_trace({d: (f"SELECT * FROM {v}", leg(v)) for d, v in LEGS.items()})
+    sizes = cut_lineage(star.view_rows())
+    return X.leg_trace({d: (f"SELECT * FROM {v}", leg(v)) for d, v in LEGS.items()},
+                       lambda domain, _: sizes.filter(F.col("view") == LEGS[domain]).select(F.col("row_count").alias("rows_returned")))
 
 
 ANSWERS_SQL = """asked AS (

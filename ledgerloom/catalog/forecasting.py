@@ -5,7 +5,9 @@ from datetime import date
 from pyspark.sql import functions as F
 
 from ..operators import forecast as X
+from ..session import cut_lineage
 from ..sources import io as IO
+from ..sources.tables import in_months
 from .registry import Registry
 
 REG = Registry()
@@ -43,12 +45,13 @@ HOLDOUT = (None, date(2000, 3, 1))
           CROSS JOIN (VALUES ('baseline', 1.0::DOUBLE), ('plus5', 1.05::DOUBLE)) v(version, f)) x GROUP BY 1, 2""",
          extra=SERIES.format(where="WHERE month < DATE '2000-04-01'") + FIT_NEXT)
 def _(star):
-    history = _series(star, HOLDOUT)
+    series = cut_lineage(_series(star))  # one row per region and month, split below
+    history = in_months(series, "month", HOLDOUT)
     base = X.forecast(history, ("region",))
     versions = base.select("region", "ds", F.inline(F.array(
         F.struct(F.lit("baseline").alias("version"), F.col("y_forecast").alias("y_forecast")),
         F.struct(F.lit("plus5").alias("version"), (F.col("y_forecast") * 1.05).alias("y_forecast")))))
-    actual = _series(star, (date(2000, 4, 1), date(2000, 6, 1))).withColumnRenamed("month", "ds")
+    actual = in_months(series, "month", (date(2000, 4, 1), date(2000, 6, 1))).withColumnRenamed("month", "ds")
     counts = history.groupBy("region").agg(F.count(F.lit(1)).alias("n"))
     return X.forecast_compare(versions, actual, ("region",), counts)
 

@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 
 from ..functions.columns import zero_padded
 from ..session import cut_lineage
+from .io import read_rows
 from .tables import Months, in_months, month_of, read_spread, read_table, small_side
 
 # Fixed values of the fixture.
@@ -39,6 +40,9 @@ COST_SHARES = (
     ("energy_cost", "0.13"),
     ("overhead", "0.20"),
 )
+#: The views of the model that have rows of facts or dimensions.
+VIEWS = ("products", "margin_actuals", "margin_budget", "fx_rates", "cost_drivers", "otif", "inventory", "lanes",
+         "service_levels", "accounts", "pipeline", "sales_actuals", "churn_signals")
 PLANTS = 6
 SAFETY_STOCK = 20
 
@@ -464,6 +468,70 @@ class Star:
             F.col("o_orderdate").cast("timestamp").alias("created_at"),
         )
 
+    # -- all views at once -----------------------------------------------------------------
+
+    def cells(self) -> DataFrame:
+        """Everything the sizes of the fact views depend on, from one pass over the line items.
+
+        Two grains as grouping sets of the same scan: ``by_account`` 0 has a row per plant, product, region and month,
+        ``by_account`` 1 one per customer and month. Partners that a line lacks are null, and the ``has`` flags say so, since
+        views differ in what they join.
+        """
+        lines = self.table("lineitem").select("l_orderkey", "l_partkey", (F.col("l_suppkey") % PLANTS).alias("plant_no"), month_of("l_shipdate").alias("month"))
+        orders = small_side(self.table("orders").select("o_orderkey", "o_custkey", F.lit(True).alias("has_order")), self.rows("orders"))
+        homes = self.located(self.table("customer").select("c_custkey", "c_nationkey"), "c_nationkey").select(
+            "c_custkey", "regionkey", "region", F.lit(True).alias("has_region"))
+        parts = self.parts().withColumn("has_part", F.lit(True))
+        joined = (
+            lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey"), "left")
+            .join(small_side(homes, self.rows("customer")), F.col("o_custkey") == F.col("c_custkey"), "left")
+            .join(small_side(parts, self.rows("part")), F.col("l_partkey") == F.col("p_partkey"), "left")
+        )
+        plant = ["plant_no", "product_line", "size_digit", "regionkey", "has_part"]
+        account = ["o_custkey", "has_order"]
+        both = ["region", "has_region", "month"]
+        sets = [[F.col(c) for c in [*plant, *both]], [F.col(c) for c in [*account, *both]]]
+        # the flag is the lowest bit of the grouping id: whether the customer is grouped away
+        found = joined.groupingSets(sets, *plant, *both, *account).agg(F.count(F.lit(1)).alias("lines"), (1 - F.grouping("has_order")).alias("by_account"))
+        return found.select("by_account", *plant, *both, *account, "lines")
+
+    def rows_by_region(self) -> DataFrame:
+        """``view``, ``region``, ``row_count`` of all views, with one scan of the line items for all of them.
+
+        A view's region is that of its product, lane or account; exchange rates have none.
+        """
+        cells = cut_lineage(self.cells())
+        plants = cells.filter("by_account = 0")
+        sold = plants.filter(F.col("has_region") & F.col("has_part"))
+        accounts = cells.filter(F.col("by_account") == 1).filter("has_order")
+        finance, lane = ["product_line", "size_digit", "regionkey", "region", "month"], ["plant_no", "region"]
+        one = F.count(F.lit(1)).cast("bigint")
+
+        def rows(df: DataFrame, *views: str, times: int = 1) -> DataFrame:
+            counted = df.groupBy("region").agg((one * times).alias("row_count"))
+            return counted.select(F.explode(F.array(*[F.lit(v) for v in views])).alias("view"), "region", "row_count")
+
+        homes = self.located(self.table("customer").select("c_custkey", "c_nationkey"), "c_nationkey").select("c_custkey", "region")
+        pipeline = self.table("orders").select("o_custkey").join(
+            small_side(homes, self.rows("customer")), F.col("o_custkey") == F.col("c_custkey"), "left")
+        parts = [
+            rows(self.products(), "products"), rows(sold.select(*finance).distinct(), "margin_actuals", "margin_budget", "cost_drivers"),
+            rows(sold, "otif", "inventory"), rows(sold.select(*lane).distinct(), "lanes"),
+            rows(plants.filter("has_region").select("region", "month").distinct(), "service_levels"),
+            rows(plants.select("month", F.lit(None).cast("string").alias("region")).distinct(), "fx_rates", times=len(FX_BASE)),
+            rows(homes, "accounts"), rows(pipeline, "pipeline"), rows(accounts, "sales_actuals", "churn_signals"),
+        ]
+        out = parts[0]
+        for p in parts[1:]:
+            out = out.unionByName(p)
+        return out
+
+    def view_rows(self) -> DataFrame:
+        """``view`` and ``row_count`` of all views, also of empty ones."""
+        counted = self.rows_by_region().groupBy("view").agg(F.sum("row_count").alias("row_count"))
+        names = read_rows(self.spark, [(v,) for v in VIEWS], "view string")
+        return names.join(counted, "view", "left").select("view", F.coalesce("row_count", F.lit(0)).alias("row_count"))
+
     # -- documents -------------------------------------------------------------------------
 
     def contract_docs(self) -> DataFrame:
