@@ -6,6 +6,7 @@ from ..sources import io as IO
 from ..sources.star import Star
 from ..sources.tables import month_of
 from ..streaming import jobs as S
+from ..streaming import proposals as P
 from .documents import CHUNKS_SQL
 from .registry import Registry
 
@@ -38,14 +39,41 @@ def _lane_stream(star: Star):
                          "l_linestatus", "l_returnflag")
 
 
-@REG.add("stream_detect", "plant_lines", """
-    SELECT lane || '|' || CAST(month AS VARCHAR) AS breach_key, otif_pct, orders FROM (
+#: Thirty lanes by some hundred months.
+STATE_PARTITIONS = 8
+LANES_SQL = """lanes_seen AS (
         SELECT 'P' || CAST(plant_no AS VARCHAR) || '->' || region AS lane, month, COUNT(*) AS orders,
                ROUND(COUNT(*) FILTER (l_linestatus = 'F' AND l_returnflag <> 'R') / CAST(COUNT(*) AS DOUBLE) * 100, 1) AS otif_pct
-        FROM plant_lines GROUP BY plant_no, region, month) t WHERE otif_pct < 20""")
+        FROM plant_lines GROUP BY plant_no, region, month),
+    open_lanes AS (SELECT lane || '|' || CAST(month AS VARCHAR) AS breach_key, otif_pct, orders FROM lanes_seen WHERE otif_pct < 20)"""
+
+
+@REG.add("stream_detect", "plant_lines", "SELECT breach_key, otif_pct, orders FROM open_lanes", extra=LANES_SQL)
 def _(star):
     base = IO.scratch_path(star.spark, "detected")
-    totals = S.lane_totals(_lane_stream(star))
     for _ in range(2):  # a second job over the same input raises nothing again
-        S.stream_detect(totals, f"{base}/actions", f"{base}/checkpoint", 20.0)
-    return S.current_breaches(star.spark, f"{base}/actions", 20.0).select("breach_key", "otif_pct", "orders")
+        P.stream_proposals(_lane_stream(star), f"{base}/log", f"{base}/checkpoint", 20.0, partitions=STATE_PARTITIONS)
+    return P.open_proposals(star.spark, f"{base}/log").select("breach_key", "otif_pct", "orders")
+
+
+def _handling(star: Star):
+    """Actions on breaches as a stream: urgent orders act on a lane of their customer's region in the month they are placed."""
+    placed = S.file_stream(star.spark, star.root, "orders.parquet").filter(F.col("o_orderpriority") == "1-URGENT").select(
+        "o_orderkey", "o_orderstatus", "o_orderdate")
+    lane = F.concat(F.lit("P"), (F.col("o_orderkey") % 6).cast("string"), F.lit("->"), F.col("region"))
+    status = F.when(F.col("o_orderstatus") == "F", "executed").when(F.col("o_orderstatus") == "P", "escalated").otherwise("rejected")
+    return placed.join(star.order_region().select(F.col("o_orderkey").alias("k"), "region"), F.col("o_orderkey") == F.col("k")).select(
+        F.concat_ws("|", lane, month_of("o_orderdate").cast("string")).alias("breach_key"), status.alias("status"), F.col("o_orderkey").alias("seq"))
+
+
+@REG.add("stream_handled", "plant_lines order_region", """
+    SELECT breach_key, otif_pct, orders FROM open_lanes LEFT JOIN handled USING (breach_key) WHERE status IS NULL OR status = 'rejected'""",
+         extra=LANES_SQL + """,
+    handled AS (
+        SELECT 'P' || CAST(o.o_orderkey % 6 AS VARCHAR) || '->' || region || '|' || CAST(CAST(date_trunc('month', o_orderdate) AS DATE) AS VARCHAR) AS breach_key,
+               arg_max(CASE o_orderstatus WHEN 'F' THEN 'executed' WHEN 'P' THEN 'escalated' ELSE 'rejected' END, o.o_orderkey) AS status
+        FROM orders o JOIN order_region r ON r.o_orderkey = o.o_orderkey WHERE o_orderpriority = '1-URGENT' GROUP BY 1)""")
+def _(star):
+    base = IO.scratch_path(star.spark, "handled")
+    P.stream_proposals(_lane_stream(star), f"{base}/log", f"{base}/checkpoint", 20.0, _handling(star), partitions=STATE_PARTITIONS)
+    return P.open_proposals(star.spark, f"{base}/log").select("breach_key", "otif_pct", "orders")

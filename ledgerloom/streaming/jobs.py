@@ -7,7 +7,6 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.columns import ratio
 from ..operators.documents import doc_chunk
 
 
@@ -40,7 +39,9 @@ def incremental_copy(stream: DataFrame, target: str, checkpoint: str) -> None:
     query.awaitTermination()
 
 
-def _batch_writer(target: str, build: Callable[[DataFrame], DataFrame]) -> Callable[[DataFrame, int], None]:
+def batch_writer(target: str, build: Callable[[DataFrame], DataFrame]) -> Callable[[DataFrame, int], None]:
+    """Store what is built from each batch in a folder of the batch's own."""
+
     def write(batch: DataFrame, batch_id: int) -> None:
         # A batch that is tried again replaces its own folder, so rows never double.
         build(batch).write.mode("overwrite").parquet(f"{target}/batch_id={batch_id}")
@@ -50,7 +51,7 @@ def _batch_writer(target: str, build: Callable[[DataFrame], DataFrame]) -> Calla
 
 def stream_chunks(docs: DataFrame, target: str, checkpoint: str, key: str = "doc_id", text: str = "text") -> None:
     """Chunk the documents that arrived since the last run."""
-    run_available(docs, _batch_writer(target, lambda b: doc_chunk(b, key, text)), checkpoint)
+    run_available(docs, batch_writer(target, lambda b: doc_chunk(b, key, text)), checkpoint)
 
 
 def current_chunks(spark: SparkSession, target: str, key: str = "doc_id") -> DataFrame:
@@ -58,32 +59,3 @@ def current_chunks(spark: SparkSession, target: str, key: str = "doc_id") -> Dat
     chunks = spark.read.option("basePath", target).parquet(target)
     latest = chunks.groupBy(key).agg(F.max("batch_id").alias("batch_id"))
     return chunks.join(latest, [key, "batch_id"], "left_semi").drop("batch_id")
-
-
-def lane_totals(lines: DataFrame) -> DataFrame:
-    """Running orders and perfect orders per lane and month. State is one row per lane and month."""
-    perfect = (F.col("l_linestatus") == "F") & (F.col("l_returnflag") != "R")
-    return lines.groupBy("lane", "region", "month").agg(
-        F.count(F.lit(1)).alias("orders"), F.count_if(perfect).alias("perfect")
-    )
-
-
-def stream_detect(totals: DataFrame, target: str, checkpoint: str, threshold: float) -> None:
-    """Store the running totals of the lane months that changed, batch by batch.
-
-    A month is judged by ``current_breaches`` over the latest totals, never by what a batch has seen so
-    far. So it does not matter how the input is cut into batches, and a month that rises above the
-    threshold again is no breach. A batch that is tried again replaces its own folder.
-    """
-    run_available(totals, _batch_writer(target, lambda b: b), checkpoint, mode="update")
-
-
-def current_breaches(spark: SparkSession, target: str, threshold: float) -> DataFrame:
-    """One proposed action per lane and month whose latest totals are below the threshold."""
-    log = spark.read.option("basePath", target).parquet(target)
-    row = F.struct("orders", "perfect")
-    latest = log.groupBy("lane", "region", "month").agg(F.max_by(row, "batch_id").alias("_t")).select("lane", "region", "month", "_t.*")
-    pct = F.round(ratio(F.col("perfect"), F.col("orders")) * 100, 1)
-    return latest.withColumn("otif_pct", pct).filter(F.col("otif_pct") < threshold).select(
-        F.concat_ws("|", "lane", F.col("month").cast("string")).alias("breach_key"),
-        "lane", "region", "month", "otif_pct", "orders", F.lit("proposed").alias("status"))

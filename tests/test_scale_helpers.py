@@ -159,26 +159,6 @@ def test_incremental_chunks_replace_changed_documents(spark, tmp_path):
     assert got == {(1, "short"), (2, "b"), (3, "new")}
 
 
-def test_streamed_detection_judges_whole_months(spark, tmp_path):
-    schema = "lane string, region string, month string, l_linestatus string, l_returnflag string"
-    bad, good = ("L1", "R", "2026-05-01", "O", "N"), ("L2", "R", "2026-05-01", "F", "N")
-    lifted = [("L4", "R", "2026-05-01", "O", "N"), ("L4", "R", "2026-05-01", "F", "N")]  # its second row makes 50 %
-    batches = [[bad, good, lifted[0]], [bad, lifted[1]], [("L3", "R", "2026-06-01", "F", "R")]]
-
-    def run(name, batches, runs):
-        src, base = str(tmp_path / name / "in"), str(tmp_path / name / "out")
-        for rows in batches:
-            spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(src)
-            if runs:
-                S.stream_detect(S.lane_totals(S.file_stream(spark, src)), f"{base}/t", f"{base}/c", 20.0)
-        S.stream_detect(S.lane_totals(S.file_stream(spark, src, files_per_batch=1)), f"{base}/t", f"{base}/c", 20.0)
-        return sorted(tuple(r) for r in S.current_breaches(spark, f"{base}/t", 20.0).collect())
-
-    one = run("one", [sum(batches, [])], False)
-    assert [r[0] for r in one] == ["L1|2026-05-01", "L3|2026-06-01"]
-    assert run("runs", batches, True) == one and run("files", batches, False) == one
-
-
 def grown(spark, tmp_path):
     """The smallest tables with a sixth region, a nation of three digits, a customer of 13 digits and later months."""
     from conftest import ROOT
