@@ -10,6 +10,7 @@ from ..operators import keyed as K
 from ..operators import ordered as O
 from ..operators import reports as T
 from ..sources import io as IO
+from ..sources.keyed_table import KeyedTable
 from ..sources.star import FOCUS_REGION, H1, Q1, Q2, VIEWS
 from ..sources.tables import TABLES, month_of
 from .registry import Registry
@@ -149,6 +150,39 @@ def _(star):
                          clock("updated_at").alias("updated_ts"))
 
 
+@REG.add("keyed_upsert", sql="""
+    SELECT user_id, event_type AS memory_key, arg_max(json_extract_string(props, '$.k'), (ts, event_id)) AS content,
+           strftime(MIN(ts), '%Y-%m-%d %H:%M:%S.%f') AS created_ts, strftime(MAX(ts), '%Y-%m-%d %H:%M:%S.%f') AS updated_ts
+    FROM events GROUP BY 1, 2""")
+def _(star):
+    rows = _memory_rows(star).withColumn("created_at", F.col("ts")).withColumn("updated_at", F.col("ts"))
+    old, new = rows.filter(F.col("ts") < F.lit(MEMORY_CUT)), rows.filter(F.col("ts") >= F.lit(MEMORY_CUT))
+    table = KeyedTable(star.spark, IO.scratch_path(star.spark, "memory"), ("user_id", "memory_key"), 8).create(rows.limit(0))
+    for changes in (old, new):
+        table.upsert_latest(changes, ("content",), ("ts", "event_id"))
+    return table.read().select("user_id", "memory_key", "content", clock("created_at").alias("created_ts"), clock("updated_at").alias("updated_ts"))
+
+
+@REG.add("keyed_update", sql="""
+    SELECT c_custkey, CASE WHEN c_acctbal < 0 THEN 'REVIEW' ELSE c_mktsegment END AS c_mktsegment,
+           CASE WHEN c_acctbal < 0 THEN CAST(0 AS DOUBLE) ELSE c_acctbal END AS c_acctbal FROM customer""")
+def _(star):
+    rows = star.table("customer").select("c_custkey", "c_mktsegment", "c_acctbal")
+    table = KeyedTable(star.spark, IO.scratch_path(star.spark, "customers"), ("c_custkey",), 8).create(rows)
+    table.update(F.col("c_acctbal") < 0, {"c_mktsegment": F.lit("REVIEW"), "c_acctbal": F.lit(0.0)})
+    return table.read()
+
+
+@REG.add("keyed_delete", sql="""
+    SELECT event_id, user_id, event_type FROM events e
+    WHERE NOT EXISTS (SELECT 1 FROM events x WHERE x.user_id = e.user_id AND x.event_type = e.event_type AND x.value > 40)""")
+def _(star):
+    rows = star.table("events").select("event_id", "user_id", "event_type", "value")
+    table = KeyedTable(star.spark, IO.scratch_path(star.spark, "trimmed"), ("user_id", "event_type"), 8).create(rows)
+    table.delete(rows.filter(F.col("value") > 40))
+    return table.read().drop("value")
+
+
 @REG.add("update_where", sql="""
     SELECT c_custkey, CASE WHEN c_acctbal < 0 THEN 'REVIEW' ELSE c_mktsegment END AS c_mktsegment,
            CASE WHEN c_acctbal < 0 THEN CAST(0 AS DOUBLE) ELSE c_acctbal END AS c_acctbal FROM customer""")

@@ -2,7 +2,9 @@
 
 from pyspark.sql import functions as F
 
+from ..operators import documents as D
 from ..sources import io as IO
+from ..sources import keyed_table as KT
 from ..sources.star import Star
 from ..sources.tables import month_of
 from ..streaming import jobs as S
@@ -30,6 +32,39 @@ def _(star):
     return S.current_chunks(star.spark, f"{base}/table")
 
 
+#: Three states of a table: what is new in the second, what it changes, and what the third no longer has.
+FEED_SQL = """SELECT o_orderkey, o_custkey, CASE WHEN o_orderkey % 5 = 0 THEN 'X' ELSE o_orderstatus END AS o_orderstatus, o_totalprice
+    FROM orders WHERE o_orderkey % 7 <> 0"""
+
+
+@REG.add("sink_cdf_merge", sql=FEED_SQL)
+def _(star):
+    base = IO.scratch_path(star.spark, "fed")
+    rows = star.table("orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice")
+    key = F.col("o_orderkey")
+    changed = rows.withColumn("o_orderstatus", F.when(key % 5 == 0, "X").otherwise(F.col("o_orderstatus")))
+    states = [rows.limit(0), rows.filter(key % 3 != 0), changed, changed.filter(key % 7 != 0)]
+    table = KT.KeyedTable(star.spark, f"{base}/table", ("o_orderkey",), 8).create(rows.limit(0).withColumn(KT.VERSION, F.lit(0).cast("bigint")))
+    for n in (1, 2, 3):
+        KT.write_feed(KT.changes_between(states[n - 1], states[n], table.keys, n), f"{base}/feed")
+        S.follow_feed(S.file_stream(star.spark, f"{base}/feed"), table.apply, f"{base}/checkpoint")
+    return table.read().drop(KT.VERSION)
+
+
+@REG.add("stream_chunk_feed", sql="SELECT chunk_id, doc_id, seq, chunk_text FROM chunks", extra=CHUNKS_SQL.replace(
+    "FROM documents)", "FROM (SELECT doc_id, CASE WHEN doc_id % 5 = 0 THEN 'revised ' || text ELSE text END AS text FROM documents WHERE doc_id % 7 <> 0))"))
+def _(star):
+    base = IO.scratch_path(star.spark, "chunk_feed")
+    docs, key = star.table("documents").select("doc_id", "text"), F.col("doc_id")
+    revised = docs.withColumn("text", F.when(key % 5 == 0, F.concat(F.lit("revised "), F.col("text"))).otherwise(F.col("text")))
+    states = [docs.limit(0), docs, revised, revised.filter(key % 7 != 0)]
+    table = KT.KeyedTable(star.spark, f"{base}/table", ("doc_id",), 8).create(D.doc_chunk(docs.limit(0)))
+    for n in (1, 2, 3):
+        KT.write_feed(KT.changes_between(states[n - 1], states[n], table.keys, n), f"{base}/feed")
+        S.follow_feed(S.file_stream(star.spark, f"{base}/feed"), S.chunk_changes(table), f"{base}/checkpoint")
+    return table.read()
+
+
 def _lane_stream(star: Star):
     """Line items as a stream, joined to the static region of their order."""
     lines = S.file_stream(star.spark, star.root, "lineitem.parquet")

@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.documents import doc_chunk
+from ..session import cut_lineage
+from ..sources.keyed_table import CHANGE, DELETE, VERSION, KeyedTable
 
 
 def file_stream(spark: SparkSession, path: str, glob: str | None = None, files_per_batch: int | None = None) -> DataFrame:
@@ -39,6 +41,26 @@ def incremental_copy(stream: DataFrame, target: str, checkpoint: str) -> None:
     query.awaitTermination()
 
 
+def follow_feed(feed: DataFrame, apply: Callable[[DataFrame], None], checkpoint: str) -> None:
+    """Hand each batch of a change feed to ``apply``, in the order it was written.
+
+    ``apply`` has to give the same state when a batch comes again, as replacing rows by key does.
+    """
+    run_available(feed, lambda batch, _: apply(batch), checkpoint)
+
+
+def chunk_changes(table: KeyedTable, key: str = "doc_id", text: str = "text") -> Callable[[DataFrame], None]:
+    """Keep a table of chunks, keyed by document, in step with a feed of documents: chunks of changed and deleted ones go."""
+
+    def apply(feed: DataFrame) -> None:
+        last = F.max_by(F.struct(F.col(text).alias("text"), CHANGE, VERSION), VERSION)
+        docs = cut_lineage(feed.groupBy(key).agg(last.alias("_l")).select(key, "_l.*"))
+        chunks = doc_chunk(docs.filter(F.col(CHANGE) != DELETE), key, "text")
+        table.replace(docs, chunks)
+
+    return apply
+
+
 def batch_writer(target: str, build: Callable[[DataFrame], DataFrame]) -> Callable[[DataFrame, int], None]:
     """Store what is built from each batch in a folder of the batch's own."""
 
