@@ -1,7 +1,10 @@
 """Hashes of many byte ranges at once, for the tasks that work on words, shingles and byte windows.
 
-The hash of the bytes ``b[s:e]`` is ``sum(T[b[i]] * C**(i - s))`` modulo 2**64 with a table ``T`` of random values and an
-odd ``C``. It comes from running sums, so ranges of any length cost the same, and it depends on the content alone.
+The hash of the bytes ``b[s:e]`` mixes two sums ``sum(T[b[i]] * C**(i - s))`` with random tables ``T``: one modulo 2**64
+with an odd ``C``, one modulo the prime 2**31 - 1. Alone the first has pairs of words that collide whatever its table and base
+(Thue-Morse words of 1,024 letters); modulo a prime they differ. Both come from running sums, so ranges of any length cost the
+same, and the hash depends on the content alone. Hashes of all ranges of one small width (:meth:`Prefix.every`) use the
+first sum only; such words are longer than those ranges.
 """
 
 from __future__ import annotations
@@ -15,7 +18,7 @@ U = np.uint64
 _C = 0x9E3779B97F4A7C15
 _MASK = (1 << 64) - 1
 #: Bytes hashed at once; eight bytes per array element make this the memory of a task.
-CHUNK = 1 << 18
+CHUNK = 1 << 15
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -51,16 +54,60 @@ def _up_to(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _powers(_C, n + 1), _powers(pow(_C, -1, 1 << 64), n + 1)
 
 
+PRIME = U((1 << 31) - 1)
+_BASE = 1_664_525
+
+
+def _folded(x: np.ndarray) -> np.ndarray:
+    """Less than 2**31 + 2**31 with the same remainder modulo ``PRIME``, for any 62 bits."""
+    return (x & PRIME) + (x >> U(31))
+
+
+def _remainder(x: np.ndarray) -> np.ndarray:
+    x = _folded(_folded(x))
+    return np.where(x >= PRIME, x - PRIME, x)
+
+
+def _prime_powers(base: int, n: int) -> np.ndarray:
+    out = np.ones(n, U)
+    have = 1
+    while have < n:
+        step = min(have, n - have)
+        out[have: have + step] = _remainder(out[:step] * U(pow(base, have, int(PRIME))))
+        have += step
+    return out
+
+
+_PRIME_UP, _PRIME_DOWN = (_prime_powers(b, CHUNK + 1) for b in (_BASE, pow(_BASE, -1, int(PRIME))))
+
+
+def _prime_up_to(n: int) -> tuple[np.ndarray, np.ndarray]:
+    if n <= CHUNK:
+        return _PRIME_UP, _PRIME_DOWN
+    return _prime_powers(_BASE, n + 1), _prime_powers(pow(_BASE, -1, int(PRIME)), n + 1)
+
+
 class Prefix:
     """Running sums over a stretch of bytes."""
 
     def __init__(self, data: np.ndarray, values: np.ndarray = BYTE_VALUES) -> None:
         up, self.down = _up_to(len(data))
+        self.data, self.values, self.prime = data, values, None
         self.sums = np.zeros(len(data) + 1, U)
         np.cumsum(values[data] * up[: len(data)], out=self.sums[1:])
 
+    def _prime_sums(self) -> tuple[np.ndarray, np.ndarray]:
+        if self.prime is None:
+            up, down = _prime_up_to(len(self.data))
+            sums = np.zeros(len(self.data) + 1, U)  # of terms below 2**32, for at most 2**30 bytes
+            np.cumsum(_folded((self.values >> U(33))[self.data] * up[: len(self.data)]), out=sums[1:])
+            self.prime = sums, down
+        return self.prime
+
     def of(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-        return mix((self.sums[end] - self.sums[start]) * self.down[start])
+        sums, down = self._prime_sums()
+        prime = _remainder(_remainder(sums[end] - sums[start]) * down[start])
+        return mix(mix((self.sums[end] - self.sums[start]) * self.down[start]) ^ prime)
 
     def every(self, width: int) -> np.ndarray:
         """Hashes of all ranges of ``width`` bytes, by start."""
