@@ -10,8 +10,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-#: Vectors of a shard at most, and shards at least.
-PER_SHARD, LEAST_SHARDS = 65_536, 8
+#: Vectors of a shard, whatever the size of the table: recall depends on it.
+PER_SHARD = 8_192
+#: Vectors of nearly one length that are compared one by one; from more a graph is built.
+FEW = 256
 #: Queries and insertions that walk the graph side by side.
 BATCH = 256
 
@@ -159,6 +161,39 @@ class Graph:
         return np.where(found >= 0, self.order[np.maximum(found, 0)], -1)
 
 
+class Shard:
+    """Graphs over the rows of ``exact``, one for each class of lengths.
+
+    A graph works in single precision, and lifting to one length drowns vectors that are much shorter than the longest. So
+    lengths within a factor of four share a graph, scaled by a power of two to less than one; vectors of any size are found,
+    and a few long ones do not blur the rest. Classes of ``FEW`` rows are compared whole.
+    """
+
+    def __init__(self, exact: np.ndarray, m: int, ef: int) -> None:
+        peak = np.frexp(np.abs(exact).max(1, initial=0))[1]
+        norm = np.linalg.norm(np.ldexp(exact, -peak[:, None]), axis=1)
+        # limits lie between powers of two, so that vectors of length one, more or less, are one class
+        level = np.floor((peak + np.log2(norm) + 0.5) / 2).astype(int)
+        self.parts = []
+        for c in np.unique(level):
+            rows = np.flatnonzero(level == c)
+            scaled = np.ldexp(exact[rows], -2 * int(c) - 2)
+            self.parts.append((rows, Graph(lifted(scaled), m, ef) if len(rows) > FEW else None))
+
+    def search(self, q: np.ndarray, ef: int) -> np.ndarray:
+        """Rows found for each query, in no particular order; -1 fills up."""
+        unit = np.ldexp(q, -np.frexp(np.abs(q).max(1, initial=0))[1][:, None])  # a query's own length changes no order
+        unit = np.column_stack([unit, np.zeros(len(q))]).astype(np.float32)
+        out = []
+        for rows, graph in self.parts:
+            if graph is None:
+                out.append(np.broadcast_to(rows, (len(q), len(rows))))
+            else:
+                found = graph.search(unit, ef)
+                out.append(np.where(found >= 0, rows[np.maximum(found, 0)], -1))
+        return np.concatenate(out, 1)
+
+
 def lifted(x: np.ndarray) -> np.ndarray:
     """One more coordinate gives all vectors the same length, so that the largest inner product is the least distance."""
     norm = (x.astype(float) ** 2).sum(1)
@@ -166,7 +201,7 @@ def lifted(x: np.ndarray) -> np.ndarray:
 
 
 def nearest(
-    vectors: DataFrame, every: int = 20, k: int = 20, ef: int = 96, m: int = 16, shards: int | None = None,
+    vectors: DataFrame, every: int = 20, k: int = 20, ef: int = 128, m: int = 24, build_ef: int = 64, shards: int | None = None,
     id_col: str = "vec_id", vector_col: str = "embedding",
 ) -> DataFrame:
     """For each vector whose id is divisible by ``every``: the ``k`` others with the largest inner product that are found.
@@ -174,12 +209,14 @@ def nearest(
     ``query_id``, ``rank`` (from 1; ties to the smaller id), ``vec_id``, ``score`` (inner product in double precision).
 
     Equal vectors are indexed once with their ``k + 1`` smallest ids, which is all that can be needed of them; they are
-    gathered per partition before they meet. Distinct vectors are dealt by hash into shards of at most ``PER_SHARD``. A
-    task builds the graph of its shard and streams all queries through it in batches, so it holds one shard and one batch.
-    The ``k`` best of every shard are merged. Vectors of another dimension are indexed apart and never compared.
+    gathered per partition before they meet. Distinct vectors are dealt by hash into shards of some ``PER_SHARD``, one a
+    task. It builds the graphs of its shard (one per class of lengths) and streams all queries through them in batches, so
+    it holds one shard and one batch. The ``k`` best of every shard are merged. Every query visits every shard: the work
+    grows with queries times shards. Vectors of another dimension are indexed apart and never compared.
 
     Vectors that are null, zero, or hold null or non-finite components take no part, as rows with a null id. A repeated
-    row counts once. Fewer candidates than ``k`` give fewer rows; no rows give no rows. Other columns are not read.
+    row counts once. Vectors may be of any size; products beyond
+    double precision are infinite. Fewer candidates than ``k`` give fewer rows; no rows give no rows. Other columns are not read.
     """
     v = F.col("v")
     fine = F.forall(v, lambda e: e.isNotNull() & ~F.isnan(e) & (F.abs(e) < float("inf"))) & F.exists(v, lambda e: e != 0)
@@ -190,7 +227,7 @@ def nearest(
     local = rows.groupBy("v", F.spark_partition_id().alias("p")).agg(F.slice(F.array_sort(F.collect_set("id")), 1, k + 1).alias("ids"))
     classes = local.groupBy("v").agg(least.alias("ids"))
     if shards is None:
-        shards = max(LEAST_SHARDS, -(-rows.count() // PER_SHARD))
+        shards = max(1, -(-rows.count() // PER_SHARD))
     code = F.xxhash64("v")
     none = F.lit(None).cast("long")
     base = classes.select(F.size("v").alias("dim"), F.pmod(code, F.lit(shards)).cast("int").alias("shard"), none.alias("query_id"), code.alias("code"), "v", "ids")
@@ -218,19 +255,20 @@ def nearest(
                     continue
                 if graph is None:
                     exact = np.concatenate(points)
-                    graph = Graph(lifted(exact), m, ef)
+                    graph = Shard(exact, m, build_ef)
                 queries = batch.column("query_id").slice(a, b - a).to_numpy()
                 codes = batch.column("code").slice(a, b - a).to_numpy()
                 for i in range(0, b - a, BATCH):
                     q = x[i: i + BATCH]
-                    found = graph.search(np.column_stack([q, np.zeros(len(q))]).astype(np.float32), ef)
+                    found = graph.search(q, ef)
                     yield answers(q, queries[i: i + BATCH], codes[i: i + BATCH], found, exact, names)
 
     def answers(q, query, code, found, exact, names) -> pa.RecordBatch:
         out: list[tuple[int, int, int, float]] = []
         for i in range(len(q)):
             at = found[i][found[i] >= 0]
-            score = (exact[at] * q[i]).sum(1)
+            with np.errstate(over="ignore", invalid="ignore"):
+                score = np.nan_to_num((exact[at] * q[i]).sum(1), nan=-np.inf, posinf=np.inf, neginf=-np.inf)
             best = np.argsort(-score, kind="stable")
             own = int(query[i])
             listed = [(-score[j], n) for j in best[: k + 1] for n in names[at[j]] if n != own]
@@ -240,7 +278,7 @@ def nearest(
         cols = list(zip(*out)) or [(), (), (), ()]
         return pa.record_batch([pa.array(c, pa.int64()) for c in cols[:3]] + [pa.array(cols[3], pa.float64())], ["query_id", "code", "vec_id", "score"])
 
-    dealt = base.unionByName(asked).repartition(shards, "dim", "shard").sortWithinPartitions("dim", "shard", F.col("query_id").asc_nulls_first(), "code")
+    dealt = base.unionByName(asked).repartitionById(shards, "shard").sortWithinPartitions("dim", "shard", F.col("query_id").asc_nulls_first(), "code")
     found = dealt.mapInArrow(run, "query_id bigint, code bigint, vec_id bigint, score double")
     best = Window.partitionBy("query_id", "code").orderBy(F.desc("score"), "vec_id")
     return found.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
