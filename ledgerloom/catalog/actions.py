@@ -6,8 +6,9 @@ from ..operators import actions as A
 from ..operators import joins as J
 from ..operators import quotes as Q
 from ..operators import reports as T
-from .core import clock
 from ..operators.ordered import with_row_number
+from ..session import cut_lineage
+from .core import clock
 from .registry import Registry
 
 REG = Registry()
@@ -152,15 +153,17 @@ def _(star):
                 ON f.action_id = o.action_id GROUP BY 1, 2) r ON r.action_id = v.action_id) x""", extra=POLICY_SQL + ",\n" + ROUTE_SQL)
 def _(star):
     ref = F.concat_ws("-", "system", F.col("action_id").cast("string"))
-    results = A.route_fanout(star.actions()).select(
+    # judged once; the systems' answers fan out from the stored verdicts
+    verdicts = cut_lineage(_verdicts(star).select("action_id", "action_type", "status", "passed"))
+    results = A.route_steps(verdicts).select(
         "action_id", "step", ((F.col("action_id") + F.col("step")) % 9 != 0).alias("ok"), ref.alias("ref_id"))
-    return A.execute_outcomes(_verdicts(star), results).select(
+    return A.execute_outcomes(verdicts, results).select(
         "action_id", "outcome", "external_ref", "completed_refs", "needs_reconciliation")
 
 
 @REG.add("join_anti_handled", "actions", """
     SELECT action_id, action_type FROM actions a WHERE status = 'proposed' AND NOT EXISTS (
-        SELECT 1 FROM actions x WHERE x.status IN ('approved', 'executing', 'executed', 'escalated') AND x.level = 4 AND x.action_type = 'scm_reorder'
+        SELECT 1 FROM actions x WHERE x.status IN ('approved', 'executing', 'executed', 'escalated')
           AND json_extract_string(x.payload, '$.supplier') = json_extract_string(a.payload, '$.supplier'))""")
 def _(star):
     acts = star.actions().withColumn("supplier", F.get_json_object("payload", "$.supplier"))

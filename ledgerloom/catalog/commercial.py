@@ -122,4 +122,4 @@ def _(star):
           FROM lineitem JOIN orders ON l_orderkey = o_orderkey WHERE o_custkey IN {KEYS} AND l_shipdate >= DATE '2000-01-01') sold
     GROUP BY k, y, m""")
 def _(star):
-    return P.com_q10(star.churn_signals(SINCE, WATCHED), star.sales_actuals(SINCE, WATCHED), WATCHED, YTD)
+    return P.com_q10(star.account_months(SINCE, WATCHED), WATCHED, YTD)

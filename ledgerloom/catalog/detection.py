@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from ..operators import actions as A
 from ..operators import detect as X
+from ..session import cut_lineage
 from ..sources import io as IO
 from .actions import SCOPE
 from .registry import Registry
@@ -71,7 +72,7 @@ def _(star):
         ELSE 'escalated' END AS path
     FROM (SELECT *, qty <> 4000 AS orders_even FROM decided) d""", extra=DECIDE_SQL)
 def _(star):
-    candidates = _candidates(star)
+    candidates = cut_lineage(_candidates(star))  # few rows, used twice
     handled = candidates.filter((F.col("month") < F.lit("1998-01-01").cast("date")) & (F.col("qty") != 4000)).select("breach_key")
     return X.gate_and_route(candidates, handled, A.policy_table(star.spark, SCOPE)).select(
         "breach_key", "action_type", "amount_eur", "path")
@@ -111,5 +112,4 @@ def _(star):
     FROM (SELECT c.*, CAST(s.margin_eur AS DOUBLE) / NULLIF(CAST(s.revenue_eur AS DOUBLE), 0) AS m
           FROM churn_signals c JOIN sales_actuals s ON s.account_id = c.account_id AND s.month = c.month) x""")
 def _(star):
-    signals = star.churn_signals().join(star.sales_actuals(), ["account_id", "month"])
-    return X.next_best_action(signals).select("account_id", "month", "next_action", "needs_review")
+    return X.next_best_action(star.account_months()).select("account_id", "month", "next_action", "needs_review")

@@ -35,6 +35,25 @@ def _(star):
     return X.forecast(_series(star), ("region",))
 
 
+SEASON_SQL = """
+    cells AS (SELECT region, month(month) AS moy, COUNT(y) AS n, MAX(month) AS last, regr_avgx(y, t) AS tx, regr_avgy(y, t) AS ty,
+                     regr_sxx(y, t) AS sxx, regr_sxy(y, t) AS sxy, regr_syy(y, t) AS syy
+              FROM (SELECT *, (CAST(year(month) * 12 + month(month) AS DOUBLE) - 23880) AS t FROM series) s GROUP BY 1, 2),
+    total AS (SELECT region, SUM(n) AS n, MAX(last) AS last, SUM(sxx) AS sxx, SUM(sxy) AS sxy, SUM(syy) AS syy FROM cells GROUP BY 1),
+    later AS (SELECT total.*, CAST(last + step * INTERVAL 1 MONTH AS DATE) AS ds FROM total, range(1, 4) steps(step)),
+    placed AS (SELECT l.*, c.ty, c.n AS cn, (CAST(year(ds) * 12 + month(ds) AS DOUBLE) - 23880) - c.tx AS gap
+               FROM later l JOIN cells c ON c.region = l.region AND c.moy = month(l.ds)),
+    season AS (SELECT *, ty + sxy / sxx * gap AS point,
+                      sqrt(GREATEST(syy - sxy * sxy / sxx, 0) / (n - 13)) * sqrt(1 + 1.0::DOUBLE / cn + gap * gap / sxx) AS sd FROM placed)"""
+
+
+@REG.add("forecast_seasonal", "margin_actuals", """
+    SELECT region, ds, ROUND(point) AS y_forecast, ROUND(point - CAST(1.96 AS DOUBLE) * sd) AS y_lower, ROUND(point + CAST(1.96 AS DOUBLE) * sd) AS y_upper,
+           'ok' AS status, 'season' AS model FROM season""", extra=SERIES.format(where="") + "," + SEASON_SQL)
+def _(star):
+    return X.forecast_seasonal(_series(star), ("region",))
+
+
 HOLDOUT = (None, date(2000, 3, 1))
 
 

@@ -3,6 +3,8 @@
 from pyspark.sql import functions as F
 
 from ..operators import memory as X
+from ..sources import io as IO
+from ..sources.keyed_table import KeyedTable
 from .registry import Registry
 
 REG = Registry()
@@ -13,6 +15,13 @@ def _(star):
     return X.thread_history(star.table("conversations")).select("conv_id", "turn", "role", "text")
 
 
+@REG.add("thread_history_one", sql="SELECT conv_id, turn, role, text FROM conversations WHERE conv_id = 7")
+def _(star):
+    turns = star.table("conversations").select("conv_id", "turn", "role", "text")
+    table = KeyedTable(star.spark, IO.scratch_path(star.spark, "threads"), ("conv_id",), 8).create(turns)
+    return X.thread_history(table.of(conv_id=7))
+
+
 @REG.add("thread_append", sql="""
     SELECT conv_id, turn, role, text FROM conversations
     UNION ALL

@@ -4,6 +4,8 @@ from pyspark.sql import functions as F
 
 from ..operators import documents as X
 from ..operators import vectors as V
+from ..sources import io as IO
+from ..sources.keyed_table import KeyedTable
 from .registry import Registry
 
 REG = Registry()
@@ -40,6 +42,16 @@ def _(star):
     return V.mem_search(star.table("embeddings"), _queries(star), "label", "vec_id")
 
 
+@REG.add("mem_search_one", sql="""
+    SELECT query_id, id, ROUND(score, 3) AS similarity, rank FROM (
+        SELECT *, ROW_NUMBER() OVER (PARTITION BY query_id ORDER BY score DESC, id) AS rank FROM scored WHERE label = query_id AND label = 3) m
+    WHERE rank <= 3""", extra=TOP_SQL.rsplit(",\n  hits", 1)[0])
+def _(star):
+    memories = star.table("embeddings").select("vec_id", "label", "embedding")
+    table = KeyedTable(star.spark, IO.scratch_path(star.spark, "memories"), ("label",), 8).create(memories)
+    return V.mem_search(table.of(label=3), _queries(star).filter(F.col("label") == 3), "label", "vec_id")
+
+
 @REG.add("vec_dim_guard", sql="""
     SELECT label, CAST(MIN(len(embedding)) AS BIGINT) AS min_dim, CAST(MAX(len(embedding)) AS BIGINT) AS max_dim, COUNT(*) AS n,
            MIN(len(embedding)) = 64 AND MAX(len(embedding)) = 64 AS dims_ok FROM embeddings GROUP BY 1""")

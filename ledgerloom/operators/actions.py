@@ -212,6 +212,12 @@ def route_of(action_type: Column, routes: Mapping[str, Sequence[str]] = ROUTES)
     return table[action_type]
 
 
+def route_steps(actions: DataFrame, routes: Mapping[str, Sequence[str]] = ROUTES) -> DataFrame:
+    """The steps of each action's route (``action_id``, ``step``, ``system``), without reading its payload."""
+    rows = actions.select("action_id", F.posexplode(route_of(F.col("action_type"), routes)).alias("step", "system"))
+    return rows.withColumn("step", F.col("step").cast("bigint"))
+
+
 def route_fanout(actions: DataFrame, routes: Mapping[str, Sequence[str]] = ROUTES) -> DataFrame:
     """Outbox: one row per action and routed system with the JSON body for that system. Nothing is sent."""
     rows = actions.select("action_id", "action_type", _payload().alias("_p"),

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import otif_pct, ratio
+from ..session import cut_lineage
 from .actions import guardrail_eval
 from .ordered import with_lead
 
@@ -27,10 +28,9 @@ def breaches_below(otif: DataFrame, threshold: float) -> DataFrame:
 
 def detect_breach(otif: DataFrame, threshold: float) -> DataFrame:
     """Breaches of the latest month that has any breach (of any lane)."""
-    found = breaches_below(otif, threshold)
-    # the lanes of a month as one list, of which the aggregate keeps the latest: one pass over the view
-    months = found.groupBy("month").agg(F.collect_list(F.struct(*found.columns)).alias("rows"))
-    return months.agg(F.max_by("rows", "month").alias("rows")).select(F.inline("rows"))
+    # lane months are few next to the view: stored once, then the latest month is a scalar and a plain filter
+    found = cut_lineage(breaches_below(otif, threshold))
+    return found.filter(F.col("month") == found.agg(F.max("month")).scalar())
 
 
 def origin(lane: Column | str) -> Column:

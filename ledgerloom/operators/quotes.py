@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import ratio
+from ..session import cut_lineage
 from .ordered import latest_per_key
 
 # Discount limit and margin floor in percent.
@@ -74,38 +75,73 @@ def quote_price(products: DataFrame, actuals: DataFrame) -> DataFrame:
 
 
 _MIN_TOKEN = 3
+_GRAM = 3
 
 
-def _name_terms(products: DataFrame) -> DataFrame:
-    """Every letter sequence of three or more letters inside a product name, once per name."""
-    names = products.select("product_name").distinct()
-    runs = names.withColumn("_run", F.explode(F.regexp_extract_all(F.lower("product_name"), F.lit(r"([a-z]+)"), 1)))
-    runs = runs.filter(F.length("_run") >= _MIN_TOKEN)
-    starts = runs.withColumn("_at", F.explode(F.sequence(F.lit(1), F.length("_run") - (_MIN_TOKEN - 1))))
-    lengths = starts.withColumn("_len", F.explode(F.sequence(F.lit(_MIN_TOKEN), F.length("_run") - F.col("_at") + 1)))
-    return lengths.select("product_name", F.substring("_run", F.col("_at"), F.col("_len")).alias("token")).distinct()
+def _grams(text: Column) -> Column:
+    """The different sequences of three letters inside the letter runs of a lower-case text."""
+    runs = F.filter(F.regexp_extract_all(text, F.lit(r"([a-z]+)"), 1), lambda r: F.length(r) >= _GRAM)
+    cut = F.transform(runs, lambda r: F.transform(F.sequence(F.lit(1), F.length(r) - (_GRAM - 1)), lambda i: F.substr(r, i, F.lit(_GRAM))))
+    return F.array_distinct(F.flatten(cut))
 
 
-def product_match(requests: DataFrame, products: DataFrame, text: str = "request_text", region: str = "region") -> DataFrame:
+def _word_matches(words: DataFrame, names: DataFrame) -> DataFrame:
+    """Which names (``product_name``, ``low``) contain which words (``token``, each once).
+
+    The index has a posting per name and three letters, so it grows with the length of the names, not with all their
+    substrings. A word looks up the rarest three letters it has, and the names found are confirmed to contain the whole word.
+    """
+    postings = names.select("product_name", "low", F.explode(_grams(F.col("low"))).alias("gram"))
+    sizes = postings.groupBy("gram").agg(F.count(F.lit(1)).alias("n"))
+    parts = words.select("token", F.explode(_grams(F.col("token"))).alias("gram")).join(sizes, "gram", "left")
+    keyed = parts.groupBy("token").agg(F.min_by("gram", F.struct(F.coalesce("n", F.lit(0)), "gram")).alias("gram"))
+    return keyed.join(postings, "gram").filter(F.contains("low", F.col("token"))).select("token", "product_name")
+
+
+def product_match(requests: DataFrame, products: DataFrame, text: str = "request_text", region: str = "region", common: int = 1000) -> DataFrame:
     """Best product for the words of each request: in the requested region first, else anywhere.
 
-    A product scores one for every word of more than two letters that its name contains. "Contains"
-    becomes an equality join: a name contains a word exactly when the word is one of the letter
-    sequences of the name. Equal requests are scored once; ties go to the lowest SKU.
+    A product scores one for every word of more than two letters that its name contains. Equal requests are scored once; ties
+    go to the lowest SKU.
+
+    A word in up to ``common`` names brings those names up as candidates of the request, which are scored whole: at most
+    ``common`` per word. Words in more names would bring up most products, so they are looked at by themselves: names with the
+    same such words count as one, with their lowest SKU per region, and so do requests. The best of both is the best of all,
+    since a name that has only common words scores what its set scores. So a word that stands in every name costs one row per
+    set of words and region, not one per request and product.
     """
+    low = F.lower(F.col(text))
     asked = requests.select(text).filter(F.col(text).isNotNull()).distinct()
-    words = F.regexp_extract_all(F.lower(text), F.lit(r"([a-z]+)"), 1)
-    tokens = asked.withColumn("token", F.explode(words)).filter(F.length("token") >= _MIN_TOKEN).groupBy(
-        text, "token"
-    ).agg(F.count(F.lit(1)).alias("_times"))
-    scored = tokens.join(_name_terms(products), "token").groupBy(text, "product_name").agg(F.sum("_times").alias("score"))
-    by_name = products.groupBy("product_name", F.col("region").alias("_region")).agg(F.min("sku").alias("sku"))
-    order = F.struct((-F.col("score")).alias("o"), F.col("sku"))
+    words = F.regexp_extract_all(low, F.lit(r"([a-z]+)"), 1)
+    tokens = cut_lineage(asked.withColumn("token", F.explode(words)).filter(F.length("token") >= _MIN_TOKEN).groupBy(text, "token").agg(
+        F.count(F.lit(1)).alias("times")))
+    goods = cut_lineage(products.groupBy("product_name", F.col("region").alias("_region")).agg(F.min("sku").alias("sku")))
+    names = goods.filter("product_name IS NOT NULL").select("product_name", F.lower("product_name").alias("low")).distinct()
+    matches = cut_lineage(_word_matches(tokens.select("token").distinct(), names))
+    spread = matches.groupBy("token").agg((F.count(F.lit(1)) > common).alias("is_common"))
+    known = tokens.join(spread, "token")
+
+    # names that a rarer word brings up, scored by all words of the request
+    listed = known.groupBy(text).agg(F.collect_list(F.struct("token", "times")).alias("words"))
+    near = known.filter(~F.col("is_common")).join(matches, "token").select(text, "product_name").distinct()
+    score = F.aggregate("words", F.lit(0).cast("bigint"), lambda n, w: n + F.when(F.contains(F.lower("product_name"), w["token"]), w["times"]).otherwise(0))
+    rare = near.join(listed, text).select(text, "product_name", score.alias("score")).join(goods, "product_name").select(text, "_region", "sku", "score")
+
+    # sets of common words, of requests and of names
+    pair = F.sort_array(F.collect_list(F.struct("token", "times")))
+    sets = known.filter("is_common").groupBy(text).agg(pair.alias("wanted"))
+    named = matches.join(spread.filter("is_common"), "token").groupBy("product_name").agg(F.sort_array(F.collect_list("token")).alias("has"))
+    cells = goods.join(named, "product_name").groupBy("has", "_region").agg(F.min("sku").alias("sku"))
+    want = sets.select("wanted").distinct().select("wanted", F.inline("wanted"))
+    have = cells.select("has").distinct().select("has", F.explode("has").alias("token"))
+    scored = want.join(have, "token").groupBy("wanted", "has").agg(F.sum("times").alias("score"))
     hit = F.struct("sku", "score")
-    in_region = scored.join(by_name, "product_name").groupBy(text, "_region").agg(F.min_by(hit, order).alias("_hit"))
-    anywhere = in_region.groupBy(text).agg(
-        F.min_by("_hit", F.struct((-F.col("_hit.score")).alias("o"), F.col("_hit.sku"))).alias("_any")
-    )
+    order = F.struct((-F.col("score")).alias("o"), F.col("sku"))
+    by_set = scored.join(cells, "has").groupBy("wanted", "_region").agg(F.min_by(hit, order).alias("_hit"))
+    frequent = sets.join(by_set, "wanted").select(text, "_region", "_hit.sku", "_hit.score")
+
+    in_region = cut_lineage(rare.unionByName(frequent).groupBy(text, "_region").agg(F.min_by(hit, order).alias("_hit")))
+    anywhere = in_region.groupBy(text).agg(F.min_by("_hit", F.struct((-F.col("_hit.score")).alias("o"), F.col("_hit.sku"))).alias("_any"))
     local = in_region.withColumnRenamed("_region", region)
     matched = requests.join(local, [text, region], "left").join(anywhere, text, "left")
     best = F.coalesce("_hit", "_any")

@@ -90,12 +90,12 @@ def vec_topk(candidates: DataFrame, queries: DataFrame, k: int, id_col: str = "i
     The scan is exact. Every task multiplies its candidates with the queries and emits only its own
     k best per query, so pairs are never materialised. Up to ``max_shipped`` queries travel to the
     tasks and the candidates stay where they are; more queries are matched block by block through
-    a shuffle. With ``scope`` a query only sees candidates of the same scope value.
+    a shuffle. With ``scope`` a query only sees candidates of the same scope value. Rows without a vector take no part.
     """
     cols = [id_col, vector] + ([scope] if scope else [])
-    cand = candidates.select(*cols)
+    cand = candidates.select(*cols).filter(F.col(vector).isNotNull())
     qcols = [query_id, vector] + ([scope] if scope else [])
-    qs = queries.select(*qcols)
+    qs = queries.select(*qcols).filter(F.col(vector).isNotNull())
     schema = StructType([
         StructField("query_id", qs.schema[query_id].dataType), StructField("id", cand.schema[id_col].dataType),
         StructField("score", DoubleType()),

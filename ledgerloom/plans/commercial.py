@@ -117,10 +117,10 @@ def com_q09(sales, accounts, periods: Sequence[Period], k: int = 10) -> DataFram
     ).orderBy(F.asc_nulls_last("delta_eur"), "account_id")
 
 
-def com_q10(churn, sales, account_ids: Sequence[str], since: date) -> DataFrame:
-    """Risk score next to revenue, month by month."""
+def com_q10(account_months, account_ids: Sequence[str], since: date) -> DataFrame:
+    """Risk score next to revenue, month by month; ``account_months`` has both."""
     keep = F.col("account_id").isin(*account_ids) & (F.col("month") >= F.lit(since))
-    return churn.filter(keep).join(sales.filter(keep), ["account_id", "month"]).select(
+    return account_months.filter(keep).select(
         "account_id", "month", F.round("churn_score", 3).alias("churn_score"),
         F.round(F.col("revenue_eur").cast("double"), 0).alias("revenue_eur"), "complaint_count", "nps",
     ).orderBy("account_id", "month")

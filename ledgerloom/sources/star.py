@@ -357,33 +357,46 @@ class Star:
             orders = small_side(orders, self.rows("orders"))
         return self.shipped(months).join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
 
-    def sales_actuals(self, months=None, account_ids=None) -> DataFrame:
+    def _sold(self, months, account_ids) -> DataFrame:
         revenue = line_revenue()
         rows = self._customer_lines(months, account_ids).select(
             "o_custkey", month_of("l_shipdate").alias("month"),
             F.col("l_quantity").cast("bigint").alias("qty"),
             revenue.alias("revenue"), line_cogs(revenue).alias("cogs"),
         )
-        agg = rows.groupBy("o_custkey", "month").agg(
+        return rows.groupBy("o_custkey", "month").agg(
             F.sum("revenue").alias("revenue"), F.sum("qty").alias("volume_units"), F.sum("cogs").alias("cogs")
         )
-        return agg.select(
-            account_id(F.col("o_custkey")).alias("account_id"), "month",
+
+    @staticmethod
+    def _sales() -> list[Column]:
+        return [
             F.col("revenue").cast("decimal(28,4)").alias("revenue_eur"),
-            "volume_units",
+            F.col("volume_units"),
             (F.col("revenue") - F.col("cogs")).cast("decimal(30,6)").alias("margin_eur"),
-        )
+        ]
 
-    def churn_signals(self, months=None, account_ids=None) -> DataFrame:
-        seen = self._customer_lines(months, account_ids).select("o_custkey", month_of("l_shipdate").alias("month")).distinct()
+    @staticmethod
+    def _signals() -> list[Column]:
         n, y, m = F.col("o_custkey"), F.year("month"), F.month("month")
-        return seen.select(
-            account_id(n).alias("account_id"), "month",
+        return [
             (((n * 7919 + y * 372 + m * 31) % 1000).cast("double") / F.lit(1000.0)).alias("churn_score"),
             ((n * 13 + m * 7) % 90).cast("bigint").alias("last_order_days"),
             ((n + m) % 8).cast("bigint").alias("complaint_count"),
             ((n * 31 + m * 17) % 201 - 100).cast("bigint").alias("nps"),
-        )
+        ]
+
+    def sales_actuals(self, months=None, account_ids=None) -> DataFrame:
+        return self._sold(months, account_ids).select(account_id(F.col("o_custkey")).alias("account_id"), "month", *self._sales())
+
+    def churn_signals(self, months=None, account_ids=None) -> DataFrame:
+        seen = self._customer_lines(months, account_ids).select("o_custkey", month_of("l_shipdate").alias("month")).distinct()
+        return seen.select(account_id(F.col("o_custkey")).alias("account_id"), "month", *self._signals())
+
+    def account_months(self, months=None, account_ids=None) -> DataFrame:
+        """Sales and churn signals of each account and month: both views have this grain, so one pass gives their join."""
+        sold = self._sold(months, account_ids).filter(F.col("o_custkey").isNotNull() & F.col("month").isNotNull())
+        return sold.select(account_id(F.col("o_custkey")).alias("account_id"), "month", *self._sales(), *self._signals())
 
     # -- governance, actions, usage --------------------------------------------------------
 
