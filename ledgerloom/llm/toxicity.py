@@ -15,6 +15,10 @@ from .tables import cut_lineage, held_out, text_of
 
 #: Bytes of the word starts that serve as patterns; 0 stands for the whole word.
 STEMS = (0, 4, 5, 6)
+#: Unbroken runs of more bytes (scripts without spaces, codes) are looked at in pieces of two characters instead.
+LONG = 48
+#: Voters whose weights and correlations are worked on at once: the driver holds matrices of voters by so many.
+VOTER_BLOCK = 1024
 #: Training rows that models are fitted on; voters are mined from all of them.
 FIT_ROWS = 20_000
 #: Labels of up to so many rows (16 bytes each) are broadcast.
@@ -27,13 +31,48 @@ def _terms(column: pa.Array, stem: int) -> tuple[np.ndarray, np.ndarray, np.ndar
     """Hash of each word, or of its first ``stem`` bytes if it is longer; with row, place and the number of words."""
     data, limits = text_bytes(column)
     starts, ends = word_ranges(data, limits, LETTER_RUNS)
+    over = ends - starts > LONG
+    if over.any():
+        pairs = _pairs(data, starts[over], ends[over])
+        starts, ends = (np.concatenate([a[~over], b]) for a, b in zip((starts, ends), pairs))
+        order = np.argsort(starts, kind="stable")
+        starts, ends = starts[order], ends[order]
     first = row_of(starts, limits)
     rows = np.repeat(np.arange(len(column)), np.diff(first))
     if stem:
         long = ends - starts > stem
         starts, rows = starts[long], rows[long]
         ends = starts + stem
-    return mix(range_hashes(data, starts, ends, LOWER_VALUES) + np.uint64(stem)), rows, starts, ends, np.diff(first)
+    return mix(_hashes(data, starts, ends) + np.uint64(stem)), rows, starts, ends, np.diff(first)
+
+
+def _pairs(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """All pieces of two neighbouring characters inside ranges: overlapping, never across a range."""
+    size = ends - starts
+    place = np.repeat(starts - np.concatenate([[0], np.cumsum(size)[:-1]]), size) + np.arange(size.sum())
+    of = np.repeat(np.arange(len(starts)), size)
+    char = (data[place] & 0xC0) != 0x80
+    place, of = place[char], of[char]
+    stop = np.append(place[2:], 0)  # where the second next character starts
+    same = np.zeros(len(place), bool)
+    same[:-2] = of[2:] == of[:-2]
+    two = np.zeros(len(place), bool)
+    two[:-1] = of[1:] == of[:-1]
+    stop = np.where(same, np.append(stop, np.zeros(max(0, len(place) - len(stop)), stop.dtype))[: len(place)], ends[of])
+    return place[two], stop[two]
+
+
+def _hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Hashes of ranges that may overlap their next one: every other one of them is disjoint."""
+    out = np.empty(len(starts), np.uint64)
+    apart = np.ones(len(starts), bool)
+    apart[1:] = starts[1:] >= ends[:-1]
+    if apart.all():
+        return range_hashes(data, starts, ends, LOWER_VALUES)
+    for odd in (0, 1):
+        mine = np.arange(len(starts)) % 2 == odd
+        out[mine] = range_hashes(data, starts[mine], ends[mine], LOWER_VALUES)
+    return out
 
 
 def _count_terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -87,12 +126,20 @@ class Voters:
         return out
 
 
+    def parts(self, column: pa.Array) -> Iterator[np.ndarray]:
+        """The votes of some texts at a time: some million numbers, however many voters there are."""
+        step = max(1, (1 << 22) // self.count)
+        for a in range(0, len(column), step):
+            yield self.votes(column.slice(a, step))
+
+
 def mine(training: DataFrame, least: int = 3, precision: float = 0.7) -> Voters:
     """The words and word starts that stand in toxic training texts far more often than in others.
 
     A term needs ``least`` toxic texts, at least ``precision`` of its texts toxic, and a gain in log-likelihood that chance would
-    not reach among all the terms that were counted. They all stand for election by gain; one that starts another elected
-    one, or that an elected one starts, says the same and is left out.
+    not reach among all the terms that were counted. They all stand for election by gain; one of up to six bytes that starts
+    another elected one, or that starts with an elected one of that length, says the same and is left out. A term has at most
+    ``LONG`` bytes, so an elected one costs the driver some hundred bytes.
     """
     texts, bad = training.agg(F.count("*"), F.coalesce(F.sum("y"), F.lit(0))).first()
     counts = cut_lineage(training.select("text", "y").mapInArrow(_count_terms, "stem int, code bigint, n bigint, toxic bigint, term binary").groupBy(
@@ -105,7 +152,7 @@ def mine(training: DataFrame, least: int = 3, precision: float = 0.7) -> Voters:
         "stem", "code", "term", gain.alias("gain")).filter(F.col("gain") > chance)
     elected, terms, starts = [], set(), set()
     for r in sorted(ranked.collect(), key=lambda r: (-r.gain, STEMS.index(r.stem), r.code)):
-        own = {bytes(r.term[:k]) for k in range(1, len(r.term) + 1)}
+        own = {bytes(r.term[:k]) for k in range(1, min(len(r.term), max(STEMS)) + 1)} | {bytes(r.term)}
         if bytes(r.term) not in starts and not own & terms:
             elected.append(r)
             terms.add(bytes(r.term))
@@ -142,24 +189,36 @@ class LabelModel:
         for _ in range(rounds):
             self.prior = np.clip(q.mean(), 1e-3, 1 - 1e-3)
             self.on, self.off = ((h + k) / (w.sum() + n) for w, h, (k, n) in zip((q, 1 - q), weighted(votes, q, 1 - q), told))
-            correlation = np.zeros((votes.shape[1], votes.shape[1]))
-            for at, v in blocks(votes):
-                v -= np.outer(q[at], self.on) + np.outer(1 - q[at], self.off)
-                correlation += v.T @ v
-            correlation /= len(votes)
-            scale = np.sqrt(np.maximum(np.diag(correlation), 1e-6))
-            correlation /= scale[:, None]
-            correlation /= scale
-            np.abs(correlation, out=correlation)
-            np.fill_diagonal(correlation, 1)
-            correlation[correlation < 0.1] = 0
-            self.share = 1 / correlation.sum(1)
+            self.share = 1 / self._agreement(votes, q)
             new = self.posterior(votes)
             done = np.abs(new - q).max() < 1e-4
             q = new
             if done:
                 break
 
+    def _agreement(self, votes: np.ndarray, q: np.ndarray) -> np.ndarray:
+        """Per voter the sum of its correlations of 0.1 or more with all voters, itself included, a block of voters at a time."""
+        n = votes.shape[1]
+
+        def residuals(at: slice, v: np.ndarray) -> np.ndarray:
+            return v - np.outer(q[at], self.on) - np.outer(1 - q[at], self.off)
+
+        squares = np.zeros(n)
+        for at, v in blocks(votes):
+            squares += (residuals(at, v) ** 2).sum(0)
+        scale = np.sqrt(np.maximum(squares / len(votes), 1e-6))
+        out = np.empty(n)
+        for a in range(0, n, VOTER_BLOCK):
+            mine = slice(a, min(n, a + VOTER_BLOCK))
+            both = np.zeros((n, mine.stop - a))
+            for at, v in blocks(votes):
+                r = residuals(at, v)
+                both += r.T @ r[:, mine]
+            both = np.abs(both / len(votes) / scale[:, None] / scale[mine])
+            both[np.arange(a, mine.stop), np.arange(mine.stop - a)] = 1
+            out[mine] = np.where(both < 0.1, 0, both).sum(0)
+        return out
+
     def posterior(self, votes: np.ndarray) -> np.ndarray:
         on, off = np.log(self.on / self.off), np.log((1 - self.on) / (1 - self.off))
         z = np.log(self.prior / (1 - self.prior)) + off @ self.share + np.concatenate([v @ ((on - off) * self.share) for _, v in blocks(votes)])
@@ -167,19 +226,27 @@ class LabelModel:
 
 
 def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1.0, rounds: int = 25) -> np.ndarray:
-    """Weights of a logistic regression with soft labels; the last column of ``x`` is constant."""
+    """Weights of a logistic regression with soft labels; the last column of ``x`` is constant.
+
+    Newton steps, on up to ``VOTER_BLOCK`` weights at once; of more weights block after block, so that no matrix of all by all is held.
+    """
     w = np.zeros(x.shape[1])
     w[-1] = np.log((y.mean() + 1e-3) / (1 - y.mean() + 1e-3))
     keep = np.append(np.full(len(w) - 1, ridge), 1e-6)
+    parts = [np.arange(a, min(len(w), a + VOTER_BLOCK)) for a in range(0, len(w), VOTER_BLOCK)]
     for _ in range(rounds):
-        bend, slope = np.diag(keep), -keep * w
-        for at, v in blocks(x):
-            p = 1 / (1 + np.exp(-np.clip(v @ w, -40, 40)))
-            slope += v.T @ (y[at] - p)
-            bend += (v * (p * (1 - p) + 1e-9)[:, None]).T @ v
-        step = np.linalg.solve(bend, slope)
-        w += np.clip(step, -4, 4)
-        if np.abs(step).max() < 1e-6:
+        moved = 0.0
+        for part in parts:
+            bend, slope = np.diag(keep[part]), -keep[part] * w[part]
+            for at, v in blocks(x):
+                p = 1 / (1 + np.exp(-np.clip(v @ w, -40, 40)))
+                mine = v[:, part] if len(parts) > 1 else v
+                slope += mine.T @ (y[at] - p)
+                bend += (mine * (p * (1 - p) + 1e-9)[:, None]).T @ mine
+            step = np.clip(np.linalg.solve(bend, slope), -4, 4)
+            w[part] += step
+            moved = max(moved, float(np.abs(step).max()))
+        if moved < 1e-6:
             break
     return w
 
@@ -200,8 +267,8 @@ def fit(docs: DataFrame, labels: DataFrame, label: str, fit_rows: int, id_col: s
 
     def cast(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, 0):
-            packed = np.packbits(voters.votes(batch.column(0)).astype(bool), axis=1)
-            yield pa.record_batch([pa.array([p.tobytes() for p in packed], pa.binary()), batch.column(1), batch.column(2)], ["votes", "y", "place"])
+            packed = [p.tobytes() for v in voters.parts(batch.column(0)) for p in np.packbits(v.astype(bool), axis=1)]
+            yield pa.record_batch([pa.array(packed, pa.binary()), batch.column(1), batch.column(2)], ["votes", "y", "place"])
 
     cast_votes = training.select("text", "y", F.xxhash64("id", "text").alias("place")).mapInArrow(cast, "votes binary, y int, place bigint")
     rows = cast_votes.orderBy("place", "y", "votes").limit(2 * fit_rows).collect()  # bounded: a bit for each voter
@@ -234,7 +301,7 @@ def score_toxicity(
             score = np.zeros(batch.num_rows)
             if fitted:
                 voters, w = fitted
-                z = voters.votes(batch.column(1)).astype(float) @ w[:-1] + w[-1]
+                z = np.concatenate([v.astype(float) @ w[:-1] for v in voters.parts(batch.column(1))] or [np.zeros(0)]) + w[-1]
                 score = 1 / (1 + np.exp(-np.clip(z, -40, 40)))
             yield pa.record_batch([batch.column(0), score], ["doc_id", "score"])
 
