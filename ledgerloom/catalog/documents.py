@@ -165,12 +165,14 @@ def _(star):
 
 @REG.add("agg_text_stats", sql="""
     SELECT COUNT(*) AS n_chunks, COUNT(DISTINCT doc_id) AS n_docs, ROUND(AVG(length(chunk_text))) AS avg_chunk_chars,
-           MIN(length(chunk_text)) AS min_chars, MAX(length(chunk_text)) AS max_chars FROM chunks""", extra=CHUNKS_SQL)
+           MIN(length(chunk_text)) AS min_chars, MAX(length(chunk_text)) AS max_chars,
+           CAST(CASE WHEN COUNT(*) > 0 THEN 64 END AS BIGINT) AS min_dim, CAST(CASE WHEN COUNT(*) > 0 THEN 64 END AS BIGINT) AS max_dim FROM chunks""", extra=CHUNKS_SQL)
 def _(star):
-    size = F.length("chunk_text").cast("bigint")
-    return X.doc_chunk(star.heavy("documents")).agg(
+    size, dim = F.length("chunk_text").cast("bigint"), F.size("embedding").cast("bigint")
+    return X.doc_embed(X.doc_chunk(star.heavy("documents"))).agg(
         F.count(F.lit(1)).alias("n_chunks"), F.countDistinct("doc_id").alias("n_docs"),
-        F.round(F.avg(size), 0).alias("avg_chunk_chars"), F.min(size).alias("min_chars"), F.max(size).alias("max_chars"))
+        F.round(F.avg(size), 0).alias("avg_chunk_chars"), F.min(size).alias("min_chars"), F.max(size).alias("max_chars"),
+        F.min(dim).alias("min_dim"), F.max(dim).alias("max_dim"))
 
 
 @REG.add("doc_embed")

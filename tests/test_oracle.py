@@ -19,14 +19,18 @@ CHOSEN = (
     "chargeback_group", "budget_overage", "guardrail_eval", "state_replay", "cas_conflicts", "route_fanout",
     "execute_outcomes", "product_match", "gate_and_route", "process_exceptions", "doc_classify", "doc_extract", "doc_chunk",
     "text_mask", "vec_topk", "mem_search", "forecast", "eval_facts", "eval_run_summary", "thread_append", "upsert_latest",
-    "receipt_log", "sink_append", "stream_chunks", "stream_detect",
+    "receipt_log", "sink_append", "stream_chunks", "stream_detect", "rls_function_views", "forecast_seasonal", "stream_handled",
+    "keyed_upsert", "keyed_update", "keyed_delete", "join_anti_handled", "leg_trace", "forecast_compare", "detect_breach", "com_q10",
+    "next_best_action", "mem_search_one", "agg_text_stats",
 )
+#: Queries whose answer is empty at this scale; any other empty answer fails.
+EMPTY = ("keyed_delete",)
 
 
 @pytest.mark.parametrize("key", CHOSEN)
 def test_matches_sql(spark, con, key):
     status, rows, _, note = compare(spark, con, ROOT, key, QUERIES[key], ORACLES[key])
-    assert status in ("ok", "ok-EMPTY"), note
+    assert status == ("ok-EMPTY" if key in EMPTY else "ok"), note
 
 
 def test_every_oracle_has_a_query():
