@@ -85,6 +85,17 @@ def save_table(df: DataFrame, table: str, mode: str = "overwrite", bucket_by: Se
     writer.saveAsTable(table)
 
 
+def bucketed(df: DataFrame, keys: Sequence[str], buckets: int) -> DataFrame:
+    """Store a frame in buckets of a key, in the shared folder, as a table of the session's catalog.
+
+    Frames stored with the same key type and number of buckets are joined, grouped and numbered by that key without an
+    exchange. A hot key makes a large bucket: take keys that are spread, such as threads or users.
+    """
+    spark, name = df.sparkSession, f"bucketed_{uuid4().hex}"
+    df.write.format("parquet").option("path", scratch_path(spark, "bucketed")).bucketBy(buckets, *keys).sortBy(*keys).saveAsTable(name)
+    return spark.table(name)
+
+
 def load_star(spark: SparkSession, tables: dict[str, Callable[[], DataFrame]], save: bool = False,
               schema: str | None = None) -> list[tuple[str, str, str | None]]:
     """Register every table and report ``(name, status, error)``; one bad table does not stop the rest."""

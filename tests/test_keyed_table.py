@@ -118,3 +118,19 @@ def test_chunks_follow_changed_and_deleted_documents(spark, tmp_path):
         KT.write_feed(KT.changes_between(a, b, ("doc_id",), n), f"{tmp_path}/feed")
         S.follow_feed(S.file_stream(spark, f"{tmp_path}/feed"), S.chunk_changes(t), f"{tmp_path}/c")
         assert rows_of(t.read()) == rows_of(doc_chunk(b))
+
+
+def test_appending_to_stored_threads_moves_nothing(spark):
+    from ledgerloom.operators.memory import thread_append
+    from ledgerloom.sources.io import bucketed
+
+    turns = spark.createDataFrame([(c, t, "user", f"{c} {t}") for c in range(30) for t in range(c % 5)], "conv_id long, turn long, role string, text string")
+    new = spark.createDataFrame([(c, s, f"q{s}", "a") for c in range(40) for s in (3, 9)], "conv_id long, seq long, question string, answer string")
+    stored = thread_append(bucketed(turns, ("conv_id",), 4), bucketed(new, ("conv_id",), 4))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        shown = stored._jdf.queryExecution().toString().split("== Physical Plan ==")[1]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "SortMergeJoin" in shown and "Exchange" not in shown
+    assert rows_of(stored) == rows_of(thread_append(turns, new))
