@@ -51,15 +51,15 @@ def _(star):
 
 @REG.add("com_q03", "geo", f"""
     SELECT {acc('k')}, c_name AS account_name, geo.region, c_mktsegment AS segment, {MILLI} / 1000.0::DOUBLE AS churn_score
-    FROM customer LEFT JOIN geo ON n_nationkey = c_nationkey JOIN (FROM active WHERE y = 2000 AND m = 6) june ON june.k = c_custkey
-    WHERE region IS NOT NULL AND {MILLI} BETWEEN 701 AND 999""", extra=ACTIVE)
+    FROM active JOIN customer ON c_custkey = k JOIN geo ON n_nationkey = c_nationkey
+    WHERE (y, m) = (2000, 6) AND {MILLI} > 700""", extra=ACTIVE)
 def _(star):
     return P.com_q03(star.churn_signals((AS_OF, AS_OF)), star.accounts(), AS_OF)
 
 
 @REG.add("com_q04", "", f"""
     SELECT {acc('k')}, make_date(y, m, 1) AS month, {MILLI} / 1000.0::DOUBLE AS churn_score
-    FROM active WHERE k IN {KEYS} AND y > 1999""", extra=ACTIVE)
+    FROM active WHERE k IN {KEYS} AND y >= 2000""", extra=ACTIVE)
 def _(star):
     return P.com_q04(star.churn_signals(SINCE, WATCHED), WATCHED, YTD)
 
@@ -78,7 +78,7 @@ def _(star):
     SELECT cohort, COUNT(*) AS accounts, round(SUM(milli) / 1000.0::DOUBLE / COUNT(*), 3) AS avg_churn_score,
            MAX(milli) / 1000.0::DOUBLE AS max_churn_score
     FROM (SELECT if(c_mktsegment = 'BUILDING' AND c_nationkey IN {EUROPEAN}, 'Focus cohort', 'Other') AS cohort, {MILLI} AS milli
-          FROM active, customer WHERE c_custkey = k AND y * 100 + m = 200006) june
+          FROM active, customer WHERE c_custkey = k AND (y, m) = (2000, 6)) june
     GROUP BY cohort""", extra=ACTIVE)
 def _(star):
     return P.com_q06(star.churn_signals((AS_OF, AS_OF)), star.accounts(), FOCUS_REGION, FOCUS_SEGMENT, AS_OF)

@@ -15,6 +15,7 @@ from ..sources.star import FOCUS_REGION, H1, Q1, Q2, VIEWS
 from ..sources.tables import TABLES, month_of
 from .registry import Registry
 from .star_sql import month_of as sql_month
+from .star_sql import period_of
 
 REG = Registry()
 PERIODS = (("Q1", *Q1), ("Q2", *Q2))
@@ -26,8 +27,7 @@ def clock(col):
     return F.date_format(col, "yyyy-MM-dd HH:mm:ss.SSSSSS")
 
 
-BUCKET = """CASE WHEN month BETWEEN DATE '2000-01-01' AND DATE '2000-03-01' THEN 'Q1'
-                 WHEN month BETWEEN DATE '2000-04-01' AND DATE '2000-06-01' THEN 'Q2' END"""
+BUCKET = period_of("month", PERIODS)
 
 
 def R(num, den):

@@ -19,6 +19,11 @@ def month_of(col: str) -> str:
     return f"CAST(date_trunc('month', {col}) AS DATE)"
 
 
+def period_of(column: str, periods) -> str:
+    """The name of the period that a month lies in, NULL outside of all."""
+    return "CASE " + " ".join(f"WHEN {column} BETWEEN DATE '{first}' AND DATE '{last}' THEN '{name}'" for name, first, last in periods) + " END"
+
+
 # name -> (needed views, body)
 VIEWS: dict[str, tuple[tuple[str, ...], str]] = {
     "geo": ((), """

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+from functools import lru_cache
 from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
@@ -39,7 +40,13 @@ def shared_folder(spark: SparkSession) -> str:
         return named.rstrip("/")
     if not sc.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a shared folder before running this job")
-    return tempfile.mkdtemp(prefix="ledgerloom-", dir=os.environ.get("TMPDIR", "/tmp"))
+    return _own_folder(sc.applicationId)
+
+
+@lru_cache(None)
+def _own_folder(application: str) -> str:
+    """One temporary folder per local session."""
+    return tempfile.mkdtemp(prefix=f"ledgerloom-{application}-", dir=os.environ.get("TMPDIR", "/tmp"))
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
