@@ -19,6 +19,8 @@ STEMS = (0, 4, 5, 6)
 LONG = 48
 #: Voters whose weights and correlations are worked on at once: the driver holds matrices of voters by so many.
 VOTER_BLOCK = 1024
+#: Pairs of voters whose common votes are kept between the rounds of the label model.
+KEPT_PRODUCTS = 1 << 24
 #: Training rows that models are fitted on; voters are mined from all of them.
 FIT_ROWS = 20_000
 #: Labels of up to so many rows (16 bytes each) are broadcast.
@@ -185,7 +187,7 @@ class LabelModel:
     def __init__(self, votes: np.ndarray, y: np.ndarray, strength: float = 0.5, rounds: int = 30) -> None:
         q = y.astype(float)
         told = [(strength * k + 0.1, strength * w.sum() + 0.2) for w, k in zip((q, 1 - q), weighted(votes, q, 1 - q))]
-        self.share = np.ones(votes.shape[1])
+        self.share, self.products = np.ones(votes.shape[1]), None
         for _ in range(rounds):
             self.prior = np.clip(q.mean(), 1e-3, 1 - 1e-3)
             self.on, self.off = ((h + k) / (w.sum() + n) for w, h, (k, n) in zip((q, 1 - q), weighted(votes, q, 1 - q), told))
@@ -197,28 +199,41 @@ class LabelModel:
                 break
 
     def _agreement(self, votes: np.ndarray, q: np.ndarray) -> np.ndarray:
-        """Per voter the sum of its correlations of 0.1 or more with all voters, itself included, a block of voters at a time."""
-        n = votes.shape[1]
-
-        def residuals(at: slice, v: np.ndarray) -> np.ndarray:
-            return v - np.outer(q[at], self.on) - np.outer(1 - q[at], self.off)
-
-        squares = np.zeros(n)
-        for at, v in blocks(votes):
-            squares += (residuals(at, v) ** 2).sum(0)
+        """Per voter the sum of its correlations of 0.1 or more with all voters, itself included, a block of voters at a time.
+
+        Products of residuals follow from those of the votes, which do not change from round to round: they are kept while
+        they take up to ``KEPT_PRODUCTS`` numbers, and counted again for each block of more voters.
+        """
+        n, rest = votes.shape[1], 1 - q
+        a, b = weighted(votes, q, rest)
+        qq, qr, rr = q @ q, q @ rest, rest @ rest
+        on, off = self.on, self.off
+        squares = votes.sum(0, dtype=float) - 2 * (a * on + b * off) + qq * on**2 + 2 * qr * on * off + rr * off**2
         scale = np.sqrt(np.maximum(squares / len(votes), 1e-6))
         out = np.empty(n)
-        for a in range(0, n, VOTER_BLOCK):
-            mine = slice(a, min(n, a + VOTER_BLOCK))
-            both = np.zeros((n, mine.stop - a))
-            for at, v in blocks(votes):
-                r = residuals(at, v)
-                both += r.T @ r[:, mine]
+        for start in range(0, n, VOTER_BLOCK):
+            mine = slice(start, min(n, start + VOTER_BLOCK))
+            both = self._products(votes, mine).astype(float)
+            left = np.column_stack([a, b, on, off])
+            right = np.stack([on[mine], off[mine], qq * on[mine] + qr * off[mine] - a[mine], qr * on[mine] + rr * off[mine] - b[mine]])
+            both += left * np.array([-1, -1, 1, 1]) @ right
             both = np.abs(both / len(votes) / scale[:, None] / scale[mine])
-            both[np.arange(a, mine.stop), np.arange(mine.stop - a)] = 1
+            both[np.arange(start, mine.stop), np.arange(mine.stop - start)] = 1
             out[mine] = np.where(both < 0.1, 0, both).sum(0)
         return out
 
+    def _products(self, votes: np.ndarray, mine: slice) -> np.ndarray:
+        """In how many texts each pair of voters votes; counts below 2**24 are exact in single precision."""
+        n = votes.shape[1]
+        if n * n > KEPT_PRODUCTS:
+            return sum((v.astype(np.float32).T @ v[:, mine].astype(np.float32) for _, v in blocks(votes)), np.zeros((n, mine.stop - mine.start), np.float32))
+        if self.products is None:
+            self.products = np.zeros((n, n), np.float32)
+            for _, v in blocks(votes):
+                v = v.astype(np.float32)
+                self.products += v.T @ v
+        return self.products[:, mine]
+
     def posterior(self, votes: np.ndarray) -> np.ndarray:
         on, off = np.log(self.on / self.off), np.log((1 - self.on) / (1 - self.off))
         z = np.log(self.prior / (1 - self.prior)) + off @ self.share + np.concatenate([v @ ((on - off) * self.share) for _, v in blocks(votes)])
