@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
@@ -102,6 +102,7 @@ class Voters:
 
     codes: dict[int, np.ndarray]
     terms: list[bytes]
+    sorted: dict[int, tuple[np.ndarray, np.ndarray]] = field(default_factory=dict)
 
     @property
     def count(self) -> int:
@@ -115,9 +116,9 @@ class Voters:
             if len(known) or not stem:
                 codes, rows, _, _, words = _terms(column, stem)
             if len(known):
-                order = np.argsort(known)
-                at = np.searchsorted(known[order], codes)
-                found = (at < len(known)) & (known[order][np.minimum(at, len(known) - 1)] == codes)
+                order, ranked = self._ranked(stem)
+                at = np.searchsorted(ranked, codes)
+                found = (at < len(known)) & (ranked[np.minimum(at, len(known) - 1)] == codes)
                 out[rows[found], base + order[at[found]]] = 1
                 hits = np.maximum(hits, np.bincount(rows[found], minlength=len(column)))
             base += len(known)
@@ -128,9 +129,15 @@ class Voters:
         return out
 
 
+    def _ranked(self, stem: int) -> tuple[np.ndarray, np.ndarray]:
+        if stem not in self.sorted:
+            order = np.argsort(self.codes[stem])
+            self.sorted[stem] = order, self.codes[stem][order]
+        return self.sorted[stem]
+
     def parts(self, column: pa.Array) -> Iterator[np.ndarray]:
         """The votes of some texts at a time: some million numbers, however many voters there are."""
-        step = max(1, (1 << 22) // self.count)
+        step = max(1, (1 << 23) // self.count)
         for a in range(0, len(column), step):
             yield self.votes(column.slice(a, step))
 
