@@ -17,8 +17,9 @@ from .tables import cut_lineage, held_out, text_of
 STEMS = (0, 4, 5, 6)
 #: Unbroken runs of more bytes (scripts without spaces, codes) are looked at in pieces of two characters instead.
 LONG = 48
-#: Voters whose weights and correlations are worked on at once: the driver holds matrices of voters by so many.
-VOTER_BLOCK = 1024
+#: Voters whose correlations are worked on at once, and weights that one Newton step changes: the driver holds a matrix of all
+#: voters by the first, and a square one of the second.
+VOTER_BLOCK, STEP_BLOCK = 1024, 4096
 #: Pairs of voters whose common votes are kept between the rounds of the label model.
 KEPT_PRODUCTS = 1 << 24
 #: Training rows that models are fitted on; voters are mined from all of them.
@@ -250,12 +251,12 @@ class LabelModel:
 def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1.0, rounds: int = 25) -> np.ndarray:
     """Weights of a logistic regression with soft labels; the last column of ``x`` is constant.
 
-    Newton steps, on up to ``VOTER_BLOCK`` weights at once; of more weights block after block, so that no matrix of all by all is held.
+    Newton steps, on up to ``STEP_BLOCK`` weights at once; of more weights block after block, so that no matrix of all by all is held.
     """
     w = np.zeros(x.shape[1])
     w[-1] = np.log((y.mean() + 1e-3) / (1 - y.mean() + 1e-3))
     keep = np.append(np.full(len(w) - 1, ridge), 1e-6)
-    parts = [np.arange(a, min(len(w), a + VOTER_BLOCK)) for a in range(0, len(w), VOTER_BLOCK)]
+    parts = [np.arange(a, min(len(w), a + STEP_BLOCK)) for a in range(0, len(w), STEP_BLOCK)]
     for _ in range(rounds):
         moved = 0.0
         for part in parts:
