@@ -114,3 +114,21 @@ def test_handled_before_it_was_seen_and_odd_rows(spark, tmp_path):
 def test_share_rounds_as_sql(spark, perfect, orders, pct):
     assert P.share(perfect, orders) == pct == spark.sql(f"SELECT round(CAST({perfect} AS DOUBLE) / {orders} * 100, 1)").first()[0]
     assert P.share(0, 0) is None
+
+
+@pytest.mark.parametrize("files", (1, 3))
+def test_a_table_is_streamed_as_one_file_and_as_a_folder_of_files(spark, tmp_path, files):
+    from ledgerloom.catalog import collect
+
+    rows = spark.createDataFrame([(i, "word " * 500) for i in range(9)], "doc_id bigint, text string").repartition(files)
+    rows.write.parquet(f"{tmp_path}/documents.parquet")
+    if files == 1:
+        (part,) = (tmp_path / "documents.parquet").glob("part-*")
+        part.rename(tmp_path / "one")
+        root = tmp_path / "as_file"
+        root.mkdir()
+        (tmp_path / "one").rename(root / "documents.parquet")
+    else:
+        root = tmp_path
+    got = collect()[0]["stream_chunks"](spark, str(root)).groupBy("doc_id").count().collect()
+    assert {(r[0], r[1]) for r in got} == {(i, 2) for i in range(9)}
