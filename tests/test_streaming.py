@@ -132,3 +132,26 @@ def test_a_table_is_streamed_as_one_file_and_as_a_folder_of_files(spark, tmp_pat
         root = tmp_path
     got = collect()[0]["stream_chunks"](spark, str(root)).groupBy("doc_id").count().collect()
     assert {(r[0], r[1]) for r in got} == {(i, 2) for i in range(9)}
+
+
+def test_a_task_sends_each_lane_month_once():
+    import pyarrow as pa
+
+    schema = pa.schema([("lane", pa.string()), ("region", pa.string()), ("month", pa.date32()), pa.field("perfect", pa.int64(), nullable=False)])
+    batches = [pa.record_batch([["a", "b", "a"], ["X", None, "X"], [MAY, None, MAY], [1, 0, n]], schema=schema) for n in (0, 1, 1)]
+    got = [r for batch in P._add_up(iter(batches)) for r in batch.to_pylist()]
+    assert sorted((r["lane"], r["region"], r["month"], r["orders"], r["perfect"], r["status"], r["seq"]) for r in got) == [
+        ("a", "X", MAY, 6, 5, None, None), ("b", None, None, 3, 0, None, None)]
+
+
+def test_tasks_of_a_streaming_join_are_counted_by_its_rows(spark, monkeypatch):
+    from conftest import ROOT
+
+    from ledgerloom.catalog import jobs
+    from ledgerloom.sources.star import Star
+
+    monkeypatch.setattr(jobs, "TASK_ROWS", 100)
+    star = Star(spark, ROOT)
+    tasks = -(-star.rows("lineitem") // 100)
+    plan = jobs._lane_stream(star)._jdf.queryExecution().analyzed().toString()
+    assert tasks > jobs.STATE_PARTITIONS and f", {tasks}" in plan and "RepartitionByExpression [l_orderkey" in plan
