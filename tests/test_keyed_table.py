@@ -134,3 +134,29 @@ def test_appending_to_stored_threads_moves_nothing(spark):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert "SortMergeJoin" in shown and "Exchange" not in shown
     assert rows_of(stored) == rows_of(thread_append(turns, new))
+
+
+def test_long_values_of_the_old_state_are_compared_by_digest(spark):
+    import hashlib
+
+    long = "x" * 500
+    old = [(1, long, b"a"), (2, long, b"a"), (3, hashlib.sha256(b"y" * 40).hexdigest(), hashlib.sha256(b"y" * 40).digest()), (4, None, None), (5, "", b""), (6, "z" * 32, b"")]
+    new = [(1, long, b"a"), (2, long + "x", b"a"), (3, hashlib.sha256(b"y" * 40).hexdigest(), b"y" * 40), (4, None, None), (5, None, b""), (7, long, None)]
+    a, b = (spark.createDataFrame(rows, "k long, t string, v binary") for rows in (old, new))
+    found = KT.changes_between(a, b, ("k",), 3)
+    got = {r.k: (r["_change"], r.t, r.v and bytes(r.v)) for r in found.collect()}
+    assert got == {2: ("update", long + "x", b"a"), 3: ("update", new[2][1], b"y" * 40), 5: ("update", None, b""), 6: ("delete", None, None), 7: ("insert", long, None)}
+    assert "sha2" in found._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_texts_of_a_feed_are_not_stored_on_their_way(spark, tmp_path, monkeypatch):
+    stored = []
+    for module in (KT, S):
+        monkeypatch.setattr(module, "cut_lineage", lambda df, keep=KT.cut_lineage: stored.append(set(df.columns)) or keep(df))
+    docs = spark.createDataFrame([(1, "a" * 3000, "insert", 1), (2, "b", "insert", 1), (2, "c" * 1700, "update", 2), (3, "d", "insert", 1), (3, None, "delete", 2)],
+                                 "doc_id long, text string, _change string, _version long")
+    table = KT.KeyedTable(spark, f"{tmp_path}/t", ("doc_id",), 4).create(S.doc_chunk(docs.limit(0)))
+    S.chunk_changes(table)(docs)
+    S.chunk_changes(table)(docs.filter("doc_id = 1").withColumn("text", docs.doc_id.cast("string")))
+    assert {(r.doc_id, r.seq, r.chunk_text) for r in table.read().collect()} == {(1, 0, "1"), (2, 0, "c" * 1700), (2, 1, "c" * 100)}
+    assert all(columns == {"doc_id"} for columns in stored)
