@@ -6,7 +6,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .bytehash import mix
@@ -19,10 +19,11 @@ def _places(keys: pa.Array) -> np.ndarray:
     return mix(keys.to_numpy(zero_copy_only=False).view(np.uint64)) % np.uint64(FILTER_BITS)
 
 
-def key_filter(keys: DataFrame) -> Callable[[pa.Array], np.ndarray]:
-    """From a frame with one bigint column without nulls: whether each of given keys may be among them.
+def key_filter(keys: DataFrame) -> Callable[[Column], Column]:
+    """From a frame with one bigint column without nulls: the condition that a given key may be among them.
 
-    Each task sends the bytes it has set; Spark merges them, so the driver reads at most one row per byte.
+    Each task sends the bytes it has set; Spark merges them, so the driver reads at most one row per byte, in one job. The
+    condition hands only the key to Python: what else a row holds, such as its text, stays where it is.
     """
     bits = np.zeros(FILTER_BITS // 8, np.uint8)
 
@@ -35,11 +36,11 @@ def key_filter(keys: DataFrame) -> Callable[[pa.Array], np.ndarray]:
         if len(at):
             yield pa.record_batch([at.astype(np.int32), packed[at].astype(np.int32)], ["at", "byte"])
 
-    for at, byte in keys.mapInArrow(run, "at int, byte int").groupBy("at").agg(F.bit_or("byte")).toLocalIterator():
-        bits[at] |= byte
+    found = keys.mapInArrow(run, "at int, byte int").groupBy("at").agg(F.bit_or("byte").alias("byte")).toArrow()
+    bits[found.column("at").to_numpy()] = found.column("byte").to_numpy()
 
-    def maybe(column: pa.Array) -> np.ndarray:
+    def maybe(column: pa.Array) -> pa.Array:
         at = _places(column)
-        return ((bits[at >> np.uint64(3)] >> (7 - (at & np.uint64(7))).astype(np.uint8)) & 1).astype(bool)
+        return pa.array(((bits[at >> np.uint64(3)] >> (7 - (at & np.uint64(7))).astype(np.uint8)) & 1).astype(bool))
 
-    return maybe
+    return F.arrow_udf(maybe, "boolean")

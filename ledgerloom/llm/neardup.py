@@ -114,14 +114,7 @@ def _confirmed(pairs: DataFrame, classes: DataFrame, docs: DataFrame, shingle: i
     """The pairs whose full shingle sets have 100 * intersection >= percent * union."""
     reps = classes.select("cid", F.col("rep.doc_id").alias("doc_id"), F.col("rep.text_key").alias("text_key"))
     wanted = cut_lineage(pairs.select(F.explode(F.array("a", "b")).alias("cid")).distinct().join(reps, "cid"))
-    maybe = key_filter(wanted.select("text_key"))
-
-    def some(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            yield batch.filter(pa.array(maybe(batch.column(1))))
-
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    near = docs.mapInArrow(some, f"doc_id {kind}, text_key bigint, text string")
+    near = docs.filter(key_filter(wanted.select("text_key"))(F.col("text_key")))
     held = near.join(wanted.withColumnsRenamed({"doc_id": "of", "text_key": "of_key"}), F.col("doc_id").eqNullSafe(F.col("of")) & (
         F.col("text_key") == F.col("of_key")))
     texts = cut_lineage(held.groupBy("cid").agg(F.min("text").alias("text")))  # repeated rows hold the same text

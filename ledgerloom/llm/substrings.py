@@ -284,14 +284,8 @@ def remove_repeats(docs: DataFrame, length: int = 100, depth: int = 25, id_col:
     named = rows.select("doc", version.alias("version"), "key", "text")
 
     def chosen(keys: DataFrame, wanted: bool) -> DataFrame:
-        maybe = key_filter(keys.select(tag))
-
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                keep = maybe(batch.column(4))
-                yield batch.select([0, 1, 2, 3]).filter(pa.array(keep if wanted else ~keep))
-
-        return named.withColumn("tag", tag).mapInArrow(run, "doc bigint, version int, key bigint, text string")
+        maybe = key_filter(keys.select(tag))(tag)
+        return named.filter(maybe if wanted else ~maybe)
 
     open_docs = first.filter(F.exists("spans", lambda s: s["stop"] < 0))
     held = chosen(open_docs, True).join(open_docs, ["doc", "version"]).select("doc", "key", "text", "spans")
@@ -302,8 +296,11 @@ def remove_repeats(docs: DataFrame, length: int = 100, depth: int = 25, id_col:
         s["start"].alias("start"), s["stop"].alias("stop"))).alias("spans")).filter("size(spans) > 0")
     spans = cut_lineage(closed.unionByName(second).groupBy("doc", "version").agg(F.flatten(F.collect_list("spans")).alias("spans")))
 
-    none = F.lit(None).cast(spans.schema["spans"].dataType)
-    whole = chosen(spans, False).select("doc", "version", "text", none.alias("spans"))
+    # texts without spans never leave the JVM
+    own, none = F.col("text").cast("binary"), F.lit(0).cast("long")
+    whole = chosen(spans, False).select("doc", "version", F.octet_length("text").cast("long").alias("n_bytes"), none.alias("n_removed"), none.alias(
+        "n_spans"), F.sha2(own, 256).alias("kept_sha256"), own.alias("kept"))
     cut = chosen(spans, True).join(spans, ["doc", "version"], "left").select("doc", "version", "text", "spans")
-    out = whole.unionByName(cut).mapInArrow(_kept, "doc bigint, version int, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string, kept binary")
+    out = whole.unionByName(cut.mapInArrow(
+        _kept, "doc bigint, version int, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string, kept binary"))
     return out.select(F.when(F.col("doc") != NO_ID, F.col("doc")).alias("doc_id"), "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept")

@@ -62,6 +62,18 @@ def test_repeated_strings_with_equal_ids_and_none(spark):
     assert remove_repeats(frame(spark, [])).count() == 0
 
 
+def test_texts_without_repeats_stay_out_of_python(spark):
+    line = "a passage that two documents hold, long enough to be found again by windows of a hundred bytes, and some more. "
+    rows = [(1, line), (2, "q" + line), (3, None), (4, "ü" * 20), (5, "short")]
+    found = remove_repeats(frame(spark, rows))
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("MapInArrow") == 1  # of the texts that are cut
+    want = plain_repeats(rows)
+    got = found.collect()
+    assert {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in got} == want
+    assert all(hashlib.sha256(r.kept).hexdigest() == r.kept_sha256 for r in got)
+
+
 # -- near duplicates
 
 
