@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .bytehash import mix, slices
-from .graph import components
+from .graph import rooted
 from .keyfilter import key_filter
 from .minhash import Sketcher, shingle_sets
 from .tables import cut_lineage, text_of
@@ -170,15 +170,16 @@ def near_duplicates(
         F.least("cid", "centre").alias("a"), F.greatest("cid", "centre").alias("b")).distinct())
     links = cut_lineage(_confirmed(stars, classes, rows_in, shingle, percent))
 
-    roots = components(links)
-    placed = buckets.join(roots.withColumnRenamed("node", "cid"), "cid", "left").withColumn("root", F.coalesce("root", "cid"))
+    roots = rooted(links).toDF("cid", "root")
+    placed = buckets.join(roots, "cid", "left").withColumn("root", F.coalesce("root", "cid"))
     mixed = placed.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo != hi").select("key")
     open_rows = placed.join(mixed, "key").join(classes.select("cid", "n", "registers", "counts"), "cid")
     rest = cut_lineage(_compared(_blocks(open_rows), sketcher, limit).join(stars, ["a", "b"], "left_anti"))
-    links = links.unionByName(cut_lineage(_confirmed(rest, classes, rows_in, shingle, percent)))
+    # the components found so far stand for their links
+    links = roots.toDF("a", "b").unionByName(cut_lineage(_confirmed(rest, classes, rows_in, shingle, percent)))
 
-    roots = components(links)
-    named = classes.select("cid", F.col("rep.doc_id").alias("doc_id")).join(roots.withColumnRenamed("node", "cid"), "cid", "left").select(
+    roots = rooted(links).toDF("cid", "root")
+    named = classes.select("cid", F.col("rep.doc_id").alias("doc_id")).join(roots, "cid", "left").select(
         "cid", "doc_id", F.coalesce("root", "cid").alias("root"))
     # stored, so that the join back on the root of a very large group is a plain one, which adaptive execution splits
     smallest = cut_lineage(named.groupBy("root").agg(F.min("doc_id").alias("component_id")))

@@ -8,8 +8,9 @@ import pyarrow as pa
 import pytest
 from conftest import ROOT
 
-from ledgerloom.llm.graph import components
+from ledgerloom.llm.graph import components, rooted
 from ledgerloom.llm.hnsw import nearest
+from ledgerloom.llm.keyfilter import key_filter
 from ledgerloom.llm.minhash import Sketcher, shingle_sets
 from ledgerloom.llm.neardup import keep_one, near_duplicates
 from ledgerloom.llm.quality import isotonic, keep_good, score_quality
@@ -147,6 +148,41 @@ def test_components(spark):
     assert got == want
 
 
+def test_components_stand_for_their_links(spark):
+    links = [(100 + k, 101 + k) for k in range(30)] + [(500, 501 + k) for k in range(20)] + [(7, 8), (8, 7)]
+    new = [(115, 510), (8, 9)]
+    some = rooted(spark.createDataFrame(links, "a long, b long"))
+    assert some.filter("a <= b").count() == 0
+    whole = components(spark.createDataFrame(links + new, "a long, b long")).collect()
+    assert sorted(components(some.union(spark.createDataFrame(new, "a long, b long"))).collect()) == sorted(whole)
+
+
+def jobs_of(spark, name, work):
+    sc = spark.sparkContext
+    sc.setJobGroup(name, name)
+    try:
+        return work(), len(sc.statusTracker().getJobIdsForGroup(name))
+    finally:
+        sc.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_key_filter_takes_no_job_per_partition(spark):
+    put = {"spark.sql.shuffle.partitions": "60", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    old = {k: spark.conf.get(k) for k in put}
+    for k, v in put.items():
+        spark.conf.set(k, v)
+    try:
+        keys = spark.range(0, 9000, 3).repartition(9)
+        maybe, jobs = jobs_of(spark, "filter", lambda: key_filter(keys))
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    assert jobs <= 3
+    passed = {r.id for r in spark.range(9000).filter(maybe("id")).collect()}
+    assert passed.issuperset(range(0, 9000, 3)) and len(passed) < 3100
+    assert spark.range(50).filter(key_filter(spark.range(0))("id")).count() == 0
+
+
 # -- nearest neighbours
 
 
