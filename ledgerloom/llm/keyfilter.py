@@ -19,11 +19,10 @@ def _places(keys: pa.Array) -> np.ndarray:
     return mix(keys.to_numpy(zero_copy_only=False).view(np.uint64)) % np.uint64(FILTER_BITS)
 
 
-def key_filter(keys: DataFrame) -> Callable[[Column], Column]:
-    """From a frame with one bigint column without nulls: the condition that a given key may be among them.
+def key_filter(keys: DataFrame) -> Callable[[pa.Array], np.ndarray]:
+    """From a frame with one bigint column without nulls: whether each of given keys may be among them.
 
-    Each task sends the bytes it has set; Spark merges them, so the driver reads at most one row per byte, in one job. The
-    condition hands only the key to Python: what else a row holds, such as its text, stays where it is.
+    Each task sends the bytes it has set; Spark merges them, so the driver reads at most one row per byte, in one job.
     """
     bits = np.zeros(FILTER_BITS // 8, np.uint8)
 
@@ -39,8 +38,18 @@ def key_filter(keys: DataFrame) -> Callable[[Column], Column]:
     found = keys.mapInArrow(run, "at int, byte int").groupBy("at").agg(F.bit_or("byte").alias("byte")).toArrow()
     bits[found.column("at").to_numpy()] = found.column("byte").to_numpy()
 
-    def maybe(column: pa.Array) -> pa.Array:
+    def maybe(column: pa.Array) -> np.ndarray:
         at = _places(column)
-        return pa.array(((bits[at >> np.uint64(3)] >> (7 - (at & np.uint64(7))).astype(np.uint8)) & 1).astype(bool))
+        return ((bits[at >> np.uint64(3)] >> (7 - (at & np.uint64(7))).astype(np.uint8)) & 1).astype(bool)
 
-    return F.arrow_udf(maybe, "boolean")
+    return maybe
+
+
+def key_condition(keys: DataFrame) -> Callable[[Column], Column]:
+    """The same as a condition that hands only the key to Python: what else a row holds, such as its text, stays in the JVM."""
+    maybe = key_filter(keys)
+
+    def may_be(column: pa.Array) -> pa.Array:
+        return pa.array(maybe(column))
+
+    return F.arrow_udf(may_be, "boolean")

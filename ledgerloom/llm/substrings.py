@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .bytehash import CHUNK, Prefix, mix, slices, text_bytes
-from .keyfilter import key_filter
+from .keyfilter import key_condition
 from .tables import cut_lineage, text_of
 
 U = np.uint64
@@ -284,7 +284,7 @@ def remove_repeats(docs: DataFrame, length: int = 100, depth: int = 25, id_col:
     named = rows.select("doc", version.alias("version"), "key", "text")
 
     def chosen(keys: DataFrame, wanted: bool) -> DataFrame:
-        maybe = key_filter(keys.select(tag))(tag)
+        maybe = key_condition(keys.select(tag))(tag)
         return named.filter(maybe if wanted else ~maybe)
 
     open_docs = first.filter(F.exists("spans", lambda s: s["stop"] < 0))

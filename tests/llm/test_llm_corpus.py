@@ -10,7 +10,7 @@ from conftest import ROOT
 
 from ledgerloom.llm.graph import components, rooted
 from ledgerloom.llm.hnsw import nearest
-from ledgerloom.llm.keyfilter import key_filter
+from ledgerloom.llm.keyfilter import key_condition
 from ledgerloom.llm.minhash import Sketcher, shingle_sets
 from ledgerloom.llm.neardup import keep_one, near_duplicates
 from ledgerloom.llm.quality import isotonic, keep_good, score_quality
@@ -173,14 +173,14 @@ def test_key_filter_takes_no_job_per_partition(spark):
         spark.conf.set(k, v)
     try:
         keys = spark.range(0, 9000, 3).repartition(9)
-        maybe, jobs = jobs_of(spark, "filter", lambda: key_filter(keys))
+        maybe, jobs = jobs_of(spark, "filter", lambda: key_condition(keys))
     finally:
         for k, v in old.items():
             spark.conf.set(k, v)
     assert jobs <= 3
     passed = {r.id for r in spark.range(9000).filter(maybe("id")).collect()}
     assert passed.issuperset(range(0, 9000, 3)) and len(passed) < 3100
-    assert spark.range(50).filter(key_filter(spark.range(0))("id")).count() == 0
+    assert spark.range(50).filter(key_condition(spark.range(0))("id")).count() == 0
 
 
 # -- nearest neighbours
